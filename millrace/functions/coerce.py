@@ -1,4 +1,8 @@
-"""Text to typed value, as Column expressions. Null means "does not convert"."""
+"""Text to typed value, as Column expressions. Null means "does not convert".
+
+Each conversion tries the plain form first, on a cheap shape test, and looks at the
+rarer accepted forms only where that fails.
+"""
 
 from __future__ import annotations
 
@@ -6,52 +10,52 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The shapes the two accepted date formats allow. A day may be
-# written as a blank and one digit; a year always has four digits.
-_YEAR = r"(?!0000)[0-9]{4}"
-_MONTH = r"(1[0-2]|0?[1-9])"
-_DAY = r"(3[01]|[12][0-9]|0?[1-9]| [1-9])"
-_US_DATE = rf"\A{_MONTH}/{_DAY}/{_YEAR}\z"
-_ISO_DATE = rf"\A{_YEAR}-{_MONTH}-{_DAY}\z"
+# The shapes of the two accepted date formats. A day may be written as a
+# blank and one digit; a year always has four digits.
+_US_DATE = r"\A[0-9]{1,2}/(?:[0-9]{1,2}| [1-9])/(?!0000)[0-9]{4}\z"
+_ISO_DATE = r"\A(?!0000)[0-9]{4}-[0-9]{1,2}-(?:[0-9]{1,2}| [1-9])\z"
 
-# Number shapes. Single underscores between digits are allowed; a
-# whole number may carry a zero fraction but no exponent.
-_INTEGER = r"\A[+-]?[0-9]+(_[0-9]+)*(\.0+)?\z"
+# Number shapes. Blanks around a number and single underscores between
+# digits are allowed; a whole number may carry a zero fraction but no exponent.
+_PLAIN_INTEGER = r"\A[+-]?[0-9]{1,18}\z"
+_INTEGER = r"\A[+-]?[0-9]+(?:_[0-9]+)*(?:\.0+)?\z"
+_PLAIN_NUMBER = r"\A[+-]?[0-9]{1,300}(?:\.[0-9]*)?\z"
 _NUMBER = (
     r"\A(?!.*__)(?!.*_\z)[+-]?"
-    r"([0-9][0-9_]*(\.[0-9_]*)?|\.[0-9][0-9_]*)([eE][+-]?[0-9][0-9_]*)?\z"
+    r"(?:[0-9][0-9_]*(?:\.[0-9_]*)?|\.[0-9][0-9_]*)(?:[eE][+-]?[0-9][0-9_]*)?\z"
 )
-_BLANKS = " \t\n\r\f\x0b "
+_BLANKS = " \t\n\r\f\x0b\xa0"
 
 
 def parse_date(text: Column) -> Column:
-    """``M/D/YYYY`` or ``YYYY-M-D``; anything else, or no such day, is null.
-
-    The shape test comes first, so the parser only sees text of its own format and
-    does not raise and swallow an exception for every row of the other one.
-    """
-    packed = F.replace(text, F.lit(" "), F.lit(""))
-    return F.when(text.rlike(_US_DATE), F.try_to_date(packed, "M/d/yyyy")).when(
-        text.rlike(_ISO_DATE), F.try_to_date(packed, "yyyy-M-d")
+    """``M/D/YYYY`` or ``YYYY-M-D``; anything else, or no such day, is null."""
+    month = F.substring_index(text, "/", 1)
+    day = F.ltrim(F.substring_index(F.substring_index(text, "/", 2), "/", -1))
+    year = F.substring_index(text, "/", -1)
+    iso = F.when(F.contains(text, F.lit(" ")), F.replace(text, F.lit(" "), F.lit(""))).otherwise(text)
+    return F.when(text.rlike(_US_DATE), F.concat_ws("-", year, month, day).try_cast("date")).when(
+        text.rlike(_ISO_DATE), iso.try_cast("date")
     )
 
 
-def _stripped(text: Column) -> Column:
+def _bare(text: Column) -> Column:
     return F.btrim(text, F.lit(_BLANKS))
 
 
 def to_integer(text: Column, dtype: T.DataType) -> Column:
     """Whole numbers, also written ``250.0``; out of range is null."""
-    bare = _stripped(text)
-    whole = F.translate(F.substring_index(bare, ".", 1), "_", "")
-    return F.when(bare.rlike(_INTEGER), whole.try_cast(dtype))
+    whole = F.translate(F.substring_index(_bare(text), ".", 1), "_", "")
+    return F.when(text.rlike(_PLAIN_INTEGER), text.try_cast(dtype)).when(
+        _bare(text).rlike(_INTEGER), whole.try_cast(dtype)
+    )
 
 
 def to_double(text: Column) -> Column:
-    """Finite decimal or exponent notation."""
-    bare = _stripped(text)
-    value = F.when(bare.rlike(_NUMBER), F.translate(bare, "_", "").try_cast("double"))
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+    """Finite numbers in decimal or exponent notation."""
+    value = F.translate(_bare(text), "_", "").try_cast("double")
+    return F.when(text.rlike(_PLAIN_NUMBER), text.try_cast("double")).when(
+        _bare(text).rlike(_NUMBER) & (F.abs(value) < float("inf")), value
+    )
 
 
 def coerce(text: Column, dtype: T.DataType) -> Column:
