@@ -14,15 +14,16 @@ from millrace.operators.merge import MergeCounts, merge_into
 from millrace.operators.messages import encode, judge_topic, next_offsets
 from millrace.operators.positions import assign_positions
 from millrace.operators.validate import judge_landing, rejected, require_strict, valid
-from millrace.schemas import MANIFEST, TOPIC
+from millrace.schemas import TOPIC
 from millrace.settings import Settings
 from millrace.sources.landing import SEQUENCE, cap_rows, read_landing
 from millrace.sources.tables import (
-    _or_empty,
     append_bronze,
+    append_manifest,
     append_quarantine,
     append_topic,
     read_bronze,
+    read_manifest,
     read_topic,
 )
 from millrace.staging import stage
@@ -124,21 +125,16 @@ def load_silver(
     return counts
 
 
-def read_manifest(spark: SparkSession, settings: Settings) -> DataFrame:
-    path = settings.state_path
-    return _or_empty(spark, MANIFEST, lambda: spark.read.schema(MANIFEST).parquet(path))
-
-
 def note_extracted(
     spark: SparkSession, settings: Settings, files: DataFrame, at: datetime
 ) -> None:
     """Record the files (url, etag, content_length, checksum_md5) that are new."""
-    changed = detect_changes(files, read_manifest(spark, settings)).where("is_new")
-    as_extracted(changed, at).write.mode("append").parquet(settings.state_path)
+    known = read_manifest(spark, settings.state_path)
+    changed = detect_changes(files, known).where("is_new")
+    append_manifest(as_extracted(changed, at), settings.state_path)
 
 
 def note_produced(spark: SparkSession, settings: Settings) -> None:
     """Record that everything that had landed is published."""
-    as_produced(read_manifest(spark, settings)).write.mode("append").parquet(
-        settings.state_path
-    )
+    known = read_manifest(spark, settings.state_path)
+    append_manifest(as_produced(known), settings.state_path)

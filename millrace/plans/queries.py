@@ -7,14 +7,13 @@ session and table folder; each query then reads those tables as a deployment wou
 
 from __future__ import annotations
 
-import dataclasses
+import sys
 import zipfile
 from collections.abc import Callable, Iterator
 from datetime import date, datetime, timedelta, timezone
 
 import pandas as pd
-import pyarrow.fs as pafs
-from pyspark import TaskContext
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,12 +33,16 @@ from millrace.operators.validate import (
     valid,
 )
 from millrace.plans import jobs, reports
-from millrace.schemas import BRONZE, HEADERS, KEY, SALES_COLUMNS, SILVER, TOPIC
+from millrace.schemas import HEADERS, KEY, SALES_COLUMNS, SILVER, TOPIC
 from millrace.settings import DEFAULT_TOPIC, DEFAULT_TOPIC_PARTITIONS, Settings
 from millrace.sources import archive, landing, star, tables
+from millrace.sources.archive import open_filesystem
 from millrace.staging import fresh_path
 from millrace.streaming import ingest
 
+# What runs in Python workers is sent whole.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Fixed stamps, so that results can be compared.
 INGESTED_AT = datetime(2021, 1, 1, tzinfo=timezone.utc)
 TRANSFORMED_AT = datetime(2021, 1, 2, tzinfo=timezone.utc)
@@ -173,7 +176,7 @@ def landing_csv(spark, sf_dir):
 
 def row_cap(spark, sf_dir):
     capped = landing.cap_rows(
-        raw_rows(spark, sf_dir), 10, ["_orderkey", *[c for c in _LINE]]
+        raw_rows(spark, sf_dir), 10, ["_orderkey", *_LINE]
     )
     return plain(
         judge_landing(capped, keep=_LINE).select(
@@ -195,18 +198,15 @@ def landing_run_counters(spark, sf_dir):
 def damaged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows with fields broken by rules on the order key, often several in a row."""
     key = F.col("_orderkey")
-    rules = {
+    damage = {
         "Order Date": F.when(key % 7 == 0, "not-a-date"),
         "Ship Date": F.when(key % 11 == 0, ""),
-        "Units Sold": F.when(key % 5 == 0, F.concat("Units Sold", F.lit("x"))),
+        "Units Sold": F.when(key % 5 == 0, F.concat(F.col("Units Sold"), F.lit("x"))),
         "Unit Price": F.when(key % 13 == 0, "1e999"),
-        "Country": F.when(key % 17 == 0, F.lit(None)),
+        "Country": F.when(key % 17 == 0, ""),
     }
     return raw_rows(spark, sf_dir).withColumns(
-        {name: F.when(broken.isNotNull(), broken).otherwise(F.col(f"`{name}`"))
-         if name != "Country"
-         else F.when(key % 17 == 0, F.lit(None)).otherwise(F.col(name))
-         for name, broken in rules.items()}
+        {name: F.coalesce(broken, F.col(f"`{name}`")) for name, broken in damage.items()}
     )
 
 
@@ -548,7 +548,7 @@ _MEMBER_ROWS = 2000
 
 def _zip_batches(directory: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        filesystem, inner = pafs.FileSystem.from_uri(directory)
+        filesystem, inner = open_filesystem(directory)
         name = f"{inner}/part-{TaskContext.get().partitionId():05d}.zip"
         number = 0
         with filesystem.open_output_stream(name) as out, zipfile.ZipFile(
@@ -567,11 +567,10 @@ def _zip_batches(directory: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[
 def archive_records(spark, sf_dir):
     """All raw rows, packed by their tasks into archives and read back."""
     path = fresh_path(spark, "archives")
-    uri = path if "://" in path else f"file://{path.removeprefix('file:')}"
-    pafs_fs, inner = pafs.FileSystem.from_uri(uri)
-    pafs_fs.create_dir(inner)
+    filesystem, inner = open_filesystem(path)
+    filesystem.create_dir(inner)
     rows = raw_rows(spark, sf_dir).select(*[F.col(f"`{h}`") for h in HEADERS])
-    written = rows.mapInPandas(_zip_batches(uri), "archive string, members int")
+    written = rows.mapInPandas(_zip_batches(path), "archive string, members int")
     written.write.parquet(fresh_path(spark, "archive-list"))
     return plain(valid(judge_landing(archive.read_archives(spark, path))))
 
@@ -645,7 +644,7 @@ def stream_poison(spark, sf_dir):
 
 def ingest_end_to_end(spark, sf_dir):
     """The batch jobs one after the other, from CSV files to silver."""
-    settings = dataclasses.replace(_settings(spark, "jobs"), max_rows=None)
+    settings = _settings(spark, "jobs")
     _write_landing(raw_rows(spark, sf_dir), settings.landing_path)
     jobs.publish(spark, settings)
     jobs.load_bronze(spark, settings, ingested_at=INGESTED_AT)

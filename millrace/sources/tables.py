@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +12,7 @@ from millrace.operators.shape import nest
 from millrace.schemas import (
     BRONZE,
     BRONZE_NESTED,
+    MANIFEST,
     SILVER,
     SILVER_PARTITIONS,
     TOPIC,
@@ -19,21 +21,24 @@ from millrace.schemas import (
 COMPRESSION = "zstd"
 
 
-def _or_empty(spark: SparkSession, schema: T.StructType, load) -> DataFrame:
-    """Only a missing path means "no rows yet"; any other failure is raised."""
-    try:
-        return load()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+def exists(spark: SparkSession, path: str) -> bool:
+    context = spark.sparkContext
+    location = context._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(context._jsc.hadoopConfiguration()).exists(location)
+
+
+def _or_empty(
+    spark: SparkSession, path: str, schema: T.StructType, load: Callable[[str], DataFrame]
+) -> DataFrame:
+    """Only a missing path means "no rows yet"; failing to read one is an error."""
+    return load(path) if exists(spark, path) else spark.createDataFrame([], schema)
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """Flat bronze. Batches and micro-batches write folders of their own below
     ``path``, so it is read recursively."""
     reader = spark.read.schema(BRONZE).option("recursiveFileLookup", True)
-    return _or_empty(spark, BRONZE, lambda: reader.parquet(path))
+    return _or_empty(spark, path, BRONZE, reader.parquet)
 
 
 def append_bronze(bronze: DataFrame, path: str) -> None:
@@ -65,7 +70,7 @@ def read_bronze_ndjson(spark: SparkSession, path: str, glob: str = "*.ndjson") -
         .option("recursiveFileLookup", True)
         .option("mode", "FAILFAST")
     )
-    return _or_empty(spark, BRONZE_NESTED, lambda: reader.json(path))
+    return _or_empty(spark, path, BRONZE_NESTED, reader.json)
 
 
 def write_bronze_ndjson(bronze: DataFrame, path: str, batch: str) -> None:
@@ -83,9 +88,8 @@ def write_bronze_ndjson(bronze: DataFrame, path: str, batch: str) -> None:
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    return _or_empty(
-        spark, SILVER, lambda: spark.read.schema(SILVER).parquet(path)
-    ).select(*SILVER.fieldNames())
+    rows = _or_empty(spark, path, SILVER, spark.read.schema(SILVER).parquet)
+    return rows.select(*SILVER.fieldNames())
 
 
 def append_silver(
@@ -110,7 +114,7 @@ def append_silver(
 
 def read_topic(spark: SparkSession, path: str) -> DataFrame:
     """Every message of a file-backed topic, from the earliest."""
-    return _or_empty(spark, TOPIC, lambda: spark.read.schema(TOPIC).parquet(path))
+    return _or_empty(spark, path, TOPIC, spark.read.schema(TOPIC).parquet)
 
 
 def append_topic(messages: DataFrame, path: str) -> None:
@@ -121,6 +125,15 @@ def append_quarantine(rejects: DataFrame, path: str) -> None:
     rejects.write.mode("append").option("compression", COMPRESSION).parquet(path)
 
 
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Every file version ever noted; ``manifest.latest`` gives the current ones."""
+    return _or_empty(spark, path, MANIFEST, spark.read.schema(MANIFEST).parquet)
+
+
+def append_manifest(rows: DataFrame, path: str) -> None:
+    rows.select(*MANIFEST.fieldNames()).write.mode("append").parquet(path)
+
+
 def _columns(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()} NOT NULL" for f in schema)
 
