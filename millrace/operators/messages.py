@@ -74,7 +74,8 @@ def judge_messages(messages: DataFrame, *, keep: list[str]) -> DataFrame:
         "value",
         F.from_json("value", _ENVELOPE, {"columnNameOfCorruptRecord": _CORRUPT}).alias("_j"),
     )
-    is_object = F.rtrim("value").endswith("}")
+    ends_as_object = F.rtrim("value").endswith("}")
+    other_json = ~F.startswith(F.schema_of_variant(F.try_parse_json("value")), F.lit("OBJECT"))
     # Only a null can be an absent field, so good messages never list their keys.
     keys = F.json_object_keys("value")
     some_null = F.lit(False)
@@ -87,13 +88,14 @@ def judge_messages(messages: DataFrame, *, keep: list[str]) -> DataFrame:
     whole = F.col("value")
     judged = judge(
         parsed.withColumn(
-            "_broken", F.col("value").isNull() | F.col(f"_j.{_CORRUPT}").isNotNull() | ~is_object
+            "_broken",
+            F.col("value").isNull() | F.col(f"_j.{_CORRUPT}").isNotNull() | ~ends_as_object,
         ),
         {f.name: _text_of(f.name) for f in FIELDS},
         [*[F.col(c) for c in keep], whole, F.col("_broken")],
         first=[
             (
-                F.col("_broken") & F.try_parse_json("value").isNotNull() & ~is_object,
+                F.col("_broken") & other_json,
                 _verdict(BAD_TYPE, MESSAGE_FIELD, whole, "not a JSON object"),
             ),
             (

@@ -30,7 +30,6 @@ HALTING = (BAD_TYPE, SCHEMA_RULE, MALFORMED_JSON)
 # Set by readers that saw the header: the first of the 14 names it lacks.
 MISSING = "missing_column"
 
-_TEXT = "_text"
 _ABSENT = "_absent"
 
 
@@ -44,8 +43,12 @@ def _verdict(cls: str, field: Column | str, value: Column, reason: Column | str)
     )
 
 
+def _text(name: str) -> str:
+    return f"_text_{name}"
+
+
 def _date_verdict(name: str) -> tuple[Column, Column]:
-    text = F.col(f"{_TEXT}.{name}")
+    text = F.col(_text(name))
     shown = F.coalesce(text, F.lit("None"))
     reason = F.format_string("expected format MM/DD/YYYY or YYYY-MM-DD, got '%s'", shown)
     failed = F.col(name).isNull() & ~F.array_contains(_ABSENT, name)
@@ -53,7 +56,7 @@ def _date_verdict(name: str) -> tuple[Column, Column]:
 
 
 def _type_verdict(name: str, dtype: T.DataType) -> tuple[Column, Column]:
-    text = F.col(f"{_TEXT}.{name}")
+    text = F.col(_text(name))
     absent = F.array_contains(_ABSENT, name)
     return F.col(name).isNull(), F.when(
         absent, _verdict(MISSING_FIELD, name, F.lit(None), "field required")
@@ -77,7 +80,7 @@ def judge(
     """
     drafted = rows.select(
         *keep,
-        F.struct(*[text[f.name].alias(f.name) for f in FIELDS]).alias(_TEXT),
+        *[text[f.name].alias(_text(f.name)) for f in FIELDS],
         (absent if absent is not None else F.array().cast("array<string>")).alias(_ABSENT),
         *[coerce(text[f.name], f.type).alias(f.name) for f in FIELDS],
     )
@@ -102,7 +105,8 @@ def judge(
         *[_type_verdict(f.name, f.type) for f in FIELDS],
     ]
     chain = reduce(lambda acc, rule: acc.when(*rule), rules[1:], F.when(*rules[0]))
-    kept = [c for c in drafted.columns if c not in (_TEXT, _ABSENT)]
+    working = {_ABSENT, *[_text(f.name) for f in FIELDS]}
+    kept = [c for c in drafted.columns if c not in working]
     # Exploding the one verdict keeps a later filter on it above this point. Pushed
     # below, it would type every field a second time.
     return drafted.select(*kept, F.explode(F.array(chain)).alias("_verdict")).select(

@@ -1,0 +1,148 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.errors import DuplicateKeyError
+from millrace.operators import audit, merge
+from millrace.operators.curate import curate, to_silver
+from millrace.operators.merge import merge_into
+from millrace.schemas import KEY, SILVER
+from millrace.sources.tables import append_silver, read_silver
+
+LATER = dt.datetime(2022, 1, 1, tzinfo=dt.timezone.utc)
+
+
+@pytest.fixture
+def offsets(bronze_rows):
+    return lambda *ns: curate(bronze_rows(*[{"kafka_offset": n} for n in ns]))
+
+
+@pytest.fixture(params=["shuffle", "probe", "months"])
+def options(request):
+    return {
+        "shuffle": {},
+        "probe": {"small_batch": True},
+        "months": {"same_partitions": True},
+    }[request.param]
+
+
+def test_three_runs_leave_fifteen_rows(spark, offsets, tmp_path, options):
+    path = str(tmp_path / "silver")
+    counts = [
+        merge_into(offsets(*range(a, b)), path, **options)
+        for a, b in ((0, 10), (0, 10), (5, 15))
+    ]
+    assert [(c.received, c.written, c.skipped) for c in counts] == [
+        (10, 10, 0),
+        (10, 0, 10),
+        (10, 5, 5),
+    ]
+    assert read_silver(spark, path).count() == 15
+    assert audit.dedup_check(read_silver(spark, path)).count() == 0
+
+
+def test_duplicate_in_one_batch(spark, offsets, tmp_path):
+    path = str(tmp_path / "silver")
+    assert merge_into(offsets(42, 42, 42), path).written == 1
+    assert read_silver(spark, path).count() == 1
+
+
+def test_first_copy_wins_and_stored_rows_stay(spark, bronze_rows, tmp_path):
+    path = str(tmp_path / "silver")
+    copies = bronze_rows(
+        {"kafka_offset": 1, "order_id": 2, "ingested_at": LATER},
+        {"kafka_offset": 1, "order_id": 1},
+    )
+    merge_into(curate(copies), path)
+    merge_into(curate(bronze_rows({"kafka_offset": 1, "order_id": 3})), path)
+    assert [r.order_id for r in read_silver(spark, path).collect()] == [1]
+
+
+def test_key_is_the_position_not_the_order(spark, bronze_rows, tmp_path):
+    path = str(tmp_path / "silver")
+    rows = bronze_rows(
+        {"order_id": 7, "kafka_offset": 5},
+        {"order_id": 7, "kafka_offset": 6},
+        {"order_id": 7, "kafka_offset": 5, "kafka_partition": 1},
+    )
+    assert merge_into(curate(rows), path).written == 3
+
+
+def test_strict_refuses_batch_and_stored_duplicates(spark, offsets, tmp_path):
+    path = str(tmp_path / "silver")
+    with pytest.raises(DuplicateKeyError) as error:
+        merge_into(offsets(1, 2, 2), path, strict=True)
+    assert error.value.dedup_key == "sales-events-0-2"
+    assert read_silver(spark, path).count() == 0
+    assert merge_into(offsets(1, 2), path, strict=True).written == 2
+    with pytest.raises(DuplicateKeyError) as error:
+        merge_into(offsets(2, 3), path, strict=True)
+    assert error.value.dedup_key == "sales-events-0-2"
+    assert read_silver(spark, path).count() == 2
+
+
+def test_a_half_finished_append_is_repaired(spark, offsets, tmp_path):
+    path = str(tmp_path / "silver")
+    partial = offsets(0, 1, 2).drop("reject_class", "source_file")
+    append_silver(partial.select(*SILVER.fieldNames()), path)
+    assert merge_into(offsets(*range(6)), path).written == 3
+    assert audit.dedup_check(read_silver(spark, path)).count() == 0
+
+
+def test_same_partitions_prunes_but_misses_a_moved_date(spark, bronze_rows, tmp_path):
+    path = str(tmp_path / "silver")
+    merge_into(curate(bronze_rows({"kafka_offset": 1})), path)
+    moved = curate(
+        bronze_rows(
+            {"kafka_offset": 1, "order_date": dt.date(2020, 2, 1), "ship_date": dt.date(2020, 2, 2)}
+        )
+    )
+    assert merge_into(moved, path).written == 0
+    assert merge_into(moved, path, same_partitions=True).written == 1
+
+
+def test_unreadable_target_is_an_error(spark, offsets, tmp_path):
+    path = tmp_path / "silver" / "order_year=2020" / "order_month=1"
+    path.mkdir(parents=True)
+    (path / "part-0.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        merge_into(offsets(1), str(tmp_path / "silver"))
+
+
+def test_hot_key_is_cut_down_before_the_shuffle(spark, bronze_rows):
+    """A position copied into a third of the rows leaves each map task once."""
+    base = to_silver(bronze_rows({})).drop(KEY)
+    keys = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, "t-0-0").otherwise(F.concat(F.lit("t-1-"), "id")).alias(KEY)
+    )
+    batch = keys.join(F.broadcast(base))
+    plan = merge.first_wins(batch, ["bronze_ingested_at"])
+    assert plan.count() == 20001
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in text and "Partial" in text
+
+
+def test_merge_shares_one_shuffle_of_the_batch(spark, bronze_rows, tmp_path):
+    path = str(tmp_path / "silver")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merge_into(curate(bronze_rows({})), path)
+        plan = merge.inserts(
+            curate(bronze_rows({})), read_silver(spark, path).select(KEY)
+        )
+        text = plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange hashpartitioning") == 2
+    assert f"ReadSchema: struct<{KEY}:string>" in text
+
+
+def test_completeness(spark, bronze_rows):
+    bronze = bronze_rows(*[{"kafka_offset": i} for i in range(10)])
+    silver = to_silver(bronze)
+    whole = audit.reconcile(bronze, bronze, silver).first()
+    assert (whole.sent, whole.bronze, whole.silver, whole.lost, whole.complete) == (10, 10, 10, 0, True)
+    short = silver.where(F.col(KEY) != "sales-events-0-3")
+    assert [r[0] for r in audit.without_silver(bronze, short).collect()] == ["sales-events-0-3"]
+    assert not audit.reconcile(bronze, bronze, short).first().complete
