@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +26,7 @@ from millrace.sources.tables import (
     read_manifest,
     read_topic,
 )
-from millrace.staging import stage
+from millrace.staging import stage, staging
 
 
 @dataclass(frozen=True)
@@ -59,11 +59,12 @@ def publish(
     """
     raw = read_landing(spark, path or settings.landing_path, multiline=multiline)
     capped = cap_rows(raw, settings.max_rows)
-    judged = stage(judge_landing(capped, keep=SEQUENCE), "judged")
-    if on_error == "strict":
-        require_strict(judged)
-    sent = publish_rows(spark, settings, valid(judged), SEQUENCE)
-    skipped = _quarantine(rejected(judged), settings.quarantine_path, "landing")
+    with staging(spark):
+        judged = stage(judge_landing(capped, keep=SEQUENCE), "judged")
+        if on_error == "strict":
+            require_strict(judged)
+        sent = publish_rows(spark, settings, valid(judged), SEQUENCE)
+        skipped = _quarantine(rejected(judged), settings.quarantine_path, "landing")
     return RunCounts(sent, skipped)
 
 
@@ -98,13 +99,19 @@ def load_bronze(
     place and is what a running deployment uses."""
     if messages is None:
         messages = read_topic(spark, settings.topic_path)
-    judged = stage(judge_topic(messages, settings.landing_file, ingested_at), "judged")
+    # One stamp for both passes below.
+    stamp = ingested_at or datetime.now(timezone.utc)
+    judged = judge_topic(messages, settings.landing_file, stamp)
     seen = Observation("bronze")
+    good = F.count_if(F.col("reject_class").isNull())
+    bad = F.count_if(F.col("reject_class").isNotNull())
     append_bronze(
-        valid(judged).observe(seen, F.count(F.lit(1)).alias("n")), settings.bronze_path
+        valid(judged.observe(seen, good.alias("good"), bad.alias("bad"))), settings.bronze_path
     )
-    skipped = _quarantine(rejected(judged), settings.quarantine_path, "topic")
-    return RunCounts(seen.get["n"], skipped)
+    # Messages are only read a second time when some were set aside.
+    if seen.get["bad"]:
+        _quarantine(rejected(judged), settings.quarantine_path, "topic")
+    return RunCounts(seen.get["good"], seen.get["bad"])
 
 
 def load_silver(
@@ -119,10 +126,9 @@ def load_silver(
     if bronze is None:
         bronze = read_bronze(spark, settings.bronze_path)
     curated = curate(bronze, transformed_at)
-    counts = merge_into(
+    return merge_into(
         curated.where(F.col("reject_class").isNull()), settings.silver_path, strict=strict
     )
-    return counts
 
 
 def note_extracted(

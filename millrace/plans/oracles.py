@@ -294,8 +294,10 @@ _ORACLES = {
              'produced' AS status
       FROM (SELECT url FROM prior UNION SELECT url FROM changed)""",
     "file_manifest": """
-      SELECT page_id, CAST(octet_length(encode(html)) + 1 AS BIGINT) AS length,
-             md5(html || chr(10)) AS checksum_md5 FROM pages""",
+      SELECT page_id // 100 AS file_no,
+             CAST(SUM(octet_length(encode(html)) + 1) AS BIGINT) AS length,
+             md5(string_agg(html || chr(10), '' ORDER BY page_id)) AS checksum_md5
+      FROM pages GROUP BY page_id // 100""",
     "archive_records": f"{_BASE} SELECT {_SALES} FROM sales",
     "stream_to_silver": f"{_BASE} SELECT {_SILVER} FROM silver",
     "stream_replay": f"""{_BASE}

@@ -37,7 +37,7 @@ from millrace.schemas import HEADERS, KEY, SALES_COLUMNS, SILVER, TOPIC
 from millrace.settings import DEFAULT_TOPIC, DEFAULT_TOPIC_PARTITIONS, Settings
 from millrace.sources import archive, landing, star, tables
 from millrace.sources.archive import open_filesystem
-from millrace.staging import fresh_path
+from millrace.staging import fresh_path, stage
 from millrace.streaming import ingest
 
 # What runs in Python workers is sent whole.
@@ -80,8 +80,9 @@ def judged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def numbered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Staged, as range bounds are sampled from it before it is sorted.
     return assign_positions(
-        valid(judged_rows(spark, sf_dir)),
+        stage(valid(judged_rows(spark, sf_dir)), "sales"),
         _ORDER,
         topic=DEFAULT_TOPIC,
         partitions=DEFAULT_TOPIC_PARTITIONS,
@@ -529,15 +530,26 @@ def manifest_states(spark, sf_dir):
     return plain(manifest.latest(done).select("url", "downloaded_at", "status"))
 
 
+_PAGES_PER_FILE = 100
+
+
 def file_manifest(spark, sf_dir):
-    """Each page as a file of its own, then listed and hashed; the larger ones as
-    streams."""
+    """Pages written as text files of a hundred each, then listed and hashed; the larger
+    files as streams."""
     path = fresh_path(spark, "pages")
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "html")
-    pages.write.partitionBy("page_id").text(path)
-    files = archive.file_manifest(spark, path, "*.txt", stream_above=8192)
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select(
+        F.expr(f"page_id div {_PAGES_PER_FILE}").alias("file_no"), "page_id", "html"
+    )
+    (
+        pages.repartition("file_no")
+        .sortWithinPartitions("file_no", "page_id")
+        .drop("page_id")
+        .write.partitionBy("file_no")
+        .text(path)
+    )
+    files = archive.file_manifest(spark, path, "*.txt", stream_above=1 << 20)
     return files.select(
-        F.regexp_extract("path", "page_id=([0-9]+)/", 1).cast("bigint").alias("page_id"),
+        F.regexp_extract("path", "file_no=([0-9]+)/", 1).cast("bigint").alias("file_no"),
         "length",
         "checksum_md5",
     )

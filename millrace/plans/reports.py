@@ -47,7 +47,15 @@ def revenue_by_country(silver: DataFrame, as_of: date, mode: str = PREVIOUS) ->
 
 
 def bronze_preview(bronze: DataFrame, rows: int = 100) -> DataFrame:
-    """The latest raw rows; the position breaks ties."""
-    return bronze.orderBy(
-        F.desc("ingested_at"), "kafka_topic", "kafka_partition", "kafka_offset"
-    ).limit(rows)
+    """The latest raw rows; the position breaks ties.
+
+    The stamp of the last row wanted is found from one column and then filters the scan
+    of all the others, which skips every row group that ends before it.
+    """
+    latest = bronze.select("ingested_at").orderBy(F.desc("ingested_at")).limit(rows)
+    oldest = latest.agg(F.min("ingested_at")).scalar()
+    return (
+        bronze.where(F.col("ingested_at") >= oldest)
+        .orderBy(F.desc("ingested_at"), "kafka_topic", "kafka_partition", "kafka_offset")
+        .limit(rows)
+    )

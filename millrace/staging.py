@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 _local_dirs: dict[str, str] = {}
+_scope: ContextVar[list[str] | None] = ContextVar("scope", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,5 +40,24 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back: a lineage cut that survives lost executors
     and, being columnar, lets later passes read only the columns they need."""
     path = fresh_path(df.sparkSession, name)
+    opened = _scope.get()
+    if opened is not None:
+        opened.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what ``stage`` wrote inside. Outside of any such block staged
+    tables stay, since frames that read them may still be in use."""
+    opened: list[str] = []
+    token = _scope.set(opened)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        context = spark.sparkContext
+        for path in opened:
+            location = context._jvm.org.apache.hadoop.fs.Path(path)
+            location.getFileSystem(context._jsc.hadoopConfiguration()).delete(location, True)
