@@ -33,7 +33,14 @@ def _spread(table: DataFrame) -> DataFrame:
 
 
 def _cents_text(cents: Column) -> Column:
-    return (cents.cast("decimal(18,0)") / 100).cast("decimal(18,2)").cast("string")
+    size = F.abs(cents)
+    parts = [
+        F.when(cents < 0, "-").otherwise(""),
+        ((size - size % 100) / 100).cast("bigint").cast("string"),
+        F.lit("."),
+        F.lpad((size % 100).cast("string"), 2, "0"),
+    ]
+    return F.concat(*parts)
 
 
 def sales_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,9 +77,9 @@ def sales_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def date_text(c: str) -> Column:
         day = F.col(c).cast("date")
-        return F.when(slashed, F.date_format(day, "M/d/yyyy")).otherwise(
-            F.date_format(day, "yyyy-MM-dd")
-        )
+        return F.when(
+            slashed, F.concat_ws("/", F.month(day), F.dayofmonth(day), F.year(day))
+        ).otherwise(day.cast("string"))
 
     priority = F.substring("o_orderpriority", 1, 1)
     return rows.select(

@@ -5,6 +5,7 @@ import sys
 
 import pytest
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -74,3 +75,20 @@ def bronze_rows(spark):
         return spark.createDataFrame([[r[n] for n in names] for r in rows], BRONZE)
 
     return make
+
+
+@pytest.fixture
+def constant_bronze(bronze_rows):
+    """Give a frame the bronze columns it lacks, each with one value throughout."""
+
+    def make(rows):
+        base = bronze_rows({})
+        values = base.first()
+        return rows.select(
+            *[
+                F.col(f.name) if f.name in rows.columns else F.lit(values[f.name]).cast(f.dataType).alias(f.name)
+                for f in base.schema
+            ]
+        )
+
+    return make

@@ -110,17 +110,30 @@ def test_unreadable_target_is_an_error(spark, offsets, tmp_path):
         merge_into(offsets(1), str(tmp_path / "silver"))
 
 
-def test_hot_key_is_cut_down_before_the_shuffle(spark, bronze_rows):
-    """A position copied into a third of the rows leaves each map task once."""
-    base = to_silver(bronze_rows({})).drop(KEY)
-    keys = spark.range(30000).select(
-        F.when(F.col("id") % 3 == 0, "t-0-0").otherwise(F.concat(F.lit("t-1-"), "id")).alias(KEY)
+def hot_positions(spark, constant_bronze):
+    """30,000 rows, a third of them copies of one position."""
+    ids = spark.range(0, 30000, 1, 8)
+    hot = F.col("id") % 3 == 0
+    return curate(
+        constant_bronze(ids.select(F.when(hot, -1).otherwise(F.col("id")).alias("kafka_offset")))
     )
-    batch = keys.join(F.broadcast(base))
-    plan = merge.first_wins(batch, ["bronze_ingested_at"])
-    assert plan.count() == 20001
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in text and "Partial" in text
+
+
+def test_hot_key_is_cut_down_before_the_shuffle(spark, constant_bronze):
+    """A position copied into a third of the rows leaves each map task once."""
+    kept = merge.first_wins(hot_positions(spark, constant_bronze))
+    assert kept.count() == 20001
+    kept.write.format("noop").mode("overwrite").save()
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    before_shuffle = plan.split("Exchange")[1]
+    assert "WindowGroupLimit" in before_shuffle and "Partial" in before_shuffle
+
+
+def test_merging_a_hot_key(spark, constant_bronze, tmp_path):
+    batch = hot_positions(spark, constant_bronze)
+    counts = merge_into(batch, str(tmp_path / "silver"))
+    assert (counts.received, counts.written) == (30000, 20001)
+    assert merge_into(batch, str(tmp_path / "silver"), small_batch=True).written == 0
 
 
 def test_merge_shares_one_shuffle_of_the_batch(spark, bronze_rows, tmp_path):
