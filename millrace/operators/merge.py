@@ -7,12 +7,19 @@ from collections import defaultdict
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from millrace.errors import DuplicateKeyError
 from millrace.schemas import KEY, SILVER, SILVER_PARTITIONS
-from millrace.sources.tables import append_silver, read_silver
+from millrace.sources.tables import append_silver, exists, read_silver
+from millrace.staging import stage, staging
+
+# Keys beyond this number are not broadcast. A key takes some 50 bytes.
+BROADCAST_KEYS = 1_000_000
+
+# Key ranges beyond this number become a single one.
+MAX_RANGES = 200
 
 FIRST_BY = ["bronze_ingested_at", "source_file"]
 
@@ -44,19 +51,57 @@ def unseen(batch: DataFrame, stored_keys: DataFrame) -> DataFrame:
     return batch.join(stored_keys, KEY, "left_anti")
 
 
-def inserts(
-    batch: DataFrame, stored_keys: DataFrame, *, small_batch: bool = False
-) -> DataFrame:
-    """The rows a merge adds.
+def inserts(batch: DataFrame, stored_keys: DataFrame) -> DataFrame:
+    """The rows a merge adds. Batch and stored keys meet in one shuffle on the key."""
+    return unseen(first_wins(batch), stored_keys)
+
+
+def small_batch_inserts(batch: DataFrame, stored_keys: DataFrame) -> DataFrame:
+    """The same for a batch that is small beside the table.
+
+    Only the stored keys around the batch's offsets are read. The batch's keys are looked
+    up in those: when the planner sees that they fit a broadcast, the stored keys are not
+    shuffled.
+    """
+    near = stored_keys.where(near_keys_of(batch))
+    return inserts(batch, near.join(batch.select(KEY), KEY, "left_semi"))
+
+
+def rescan_inserts(batch: DataFrame, stored_keys: DataFrame) -> DataFrame:
+    """The same for a batch that is mostly stored, like all of bronze once more.
+
+    Only the key columns are compared. While the keys found new are few, the rows are
+    picked where they are scanned, and nothing but the new ones is shuffled.
+    """
+    keys = batch.select(KEY).distinct()
+    fresh = stage(keys.join(stored_keys, KEY, "left_anti"), "fresh-keys")
+    if fresh.count() <= BROADCAST_KEYS:
+        return first_wins(batch.join(F.broadcast(fresh), KEY, "left_semi"))
+    return first_wins(batch).join(fresh, KEY, "left_semi")
+
+
+def near_keys_of(batch: DataFrame) -> Column:
+    """A filter that every stored key equal to one of the batch passes.
 
-    By default stored keys and batch meet in one shuffle on the key. For a batch that
-    is small beside the table, ``small_batch`` looks the batch's keys up first: when
-    they fit a broadcast the long key column is only scanned, not shuffled, and when
-    they do not Spark falls back to the shuffle.
+    Offsets of one length order as text like numbers, so each topic partition and offset
+    length gives one range of keys. Silver files are sorted by key, and the scan skips
+    the pages out of range. The ranges come back to the driver: a few per topic partition.
     """
-    if small_batch:
-        stored_keys = stored_keys.join(batch.select(KEY), KEY, "left_semi")
-    return unseen(first_wins(batch), stored_keys).select(*SILVER.fieldNames())
+    offset = F.substring_index(KEY, "-", -1)
+    stem = F.expr(f"left({KEY}, length({KEY}) - length(substring_index({KEY}, '-', -1)))")
+    ranges = (
+        batch.groupBy(stem.alias("stem"), F.length(offset).alias("digits"))
+        .agg(
+            F.min(offset.cast("bigint")).alias("low"), F.max(offset.cast("bigint")).alias("high")
+        )
+        .collect()
+    )
+    bounds = sorted((f"{r.stem}{r.low}", f"{r.stem}{r.high}") for r in ranges)
+    if len(bounds) > MAX_RANGES:
+        bounds = [(bounds[0][0], max(high for _, high in bounds))]
+    return reduce(
+        lambda a, b: a | b, [F.col(KEY).between(low, high) for low, high in bounds], F.lit(False)
+    )
 
 
 def clashes(batch: DataFrame, stored_keys: DataFrame) -> DataFrame:
@@ -85,16 +130,22 @@ def in_partitions_of(silver: DataFrame, batch: DataFrame) -> DataFrame:
     return silver.where(reduce(lambda a, b: a | b, touched, F.lit(False)))
 
 
+PLANS = {"any": inserts, "small": small_batch_inserts, "rescan": rescan_inserts}
+
+
 def merge_into(
     batch: DataFrame,
     path: str,
     *,
     strict: bool = False,
-    small_batch: bool = False,
+    expect: str = "any",
     same_partitions: bool = False,
 ) -> MergeCounts:
     """Append the unseen rows of ``batch`` to the silver table at ``path``.
 
+    ``expect`` says what kind of batch it is, "any", "small" beside the table or a
+    "rescan" of mostly stored rows. It picks the cheapest way to the same result.
+
     ``same_partitions`` compares with the batch's own months only. That is exact while
     a position keeps one order date; a re-created topic reuses positions, so it is off
     by default.
@@ -102,7 +153,8 @@ def merge_into(
     A crash before the commit leaves the table as it was; one during it may leave some
     of the files, whose rows the next attempt finds stored.
     """
-    silver = read_silver(batch.sparkSession, path)
+    spark = batch.sparkSession
+    silver = read_silver(spark, path)
     if same_partitions:
         silver = in_partitions_of(silver, batch)
     stored_keys = silver.select(KEY)
@@ -110,11 +162,13 @@ def merge_into(
         first = clashes(batch, stored_keys).agg(F.min(KEY).alias(KEY)).first()[KEY]
         if first is not None:
             raise DuplicateKeyError(first)
+    plan = PLANS[expect] if exists(spark, path) else inserts
     # Counted in the writing stage itself, where a retried task counts once.
     seen = Observation("merge")
-    append_silver(
-        inserts(batch, stored_keys, small_batch=small_batch),
-        path,
-        observe=(seen, F.count(F.lit(1)).alias("written")),
-    )
+    with staging(spark):
+        append_silver(
+            plan(batch, stored_keys).select(*SILVER.fieldNames()),
+            path,
+            observe=(seen, F.count(F.lit(1)).alias("written")),
+        )
     return MergeCounts(received=batch.count(), written=seen.get["written"])

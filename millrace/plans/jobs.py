@@ -127,7 +127,10 @@ def load_silver(
         bronze = read_bronze(spark, settings.bronze_path)
     curated = curate(bronze, transformed_at)
     return merge_into(
-        curated.where(F.col("reject_class").isNull()), settings.silver_path, strict=strict
+        curated.where(F.col("reject_class").isNull()),
+        settings.silver_path,
+        strict=strict,
+        expect="rescan",
     )
 
 

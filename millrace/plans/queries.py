@@ -396,7 +396,7 @@ def merge_three_runs(spark, sf_dir):
     batch = curated(spark, sf_dir)
     step = _offset_of(KEY) % 15
     for run, (low, high) in enumerate([(0, 10), (0, 10), (5, 15)]):
-        merge_into(batch.where((step >= low) & (step < high)), path, small_batch=run > 0)
+        merge_into(batch.where((step >= low) & (step < high)), path, expect="small")
     return plain(_merged(spark, path))
 
 

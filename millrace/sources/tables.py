@@ -12,6 +12,7 @@ from millrace.operators.shape import nest
 from millrace.schemas import (
     BRONZE,
     BRONZE_NESTED,
+    KEY,
     MANIFEST,
     SILVER,
     SILVER_PARTITIONS,
@@ -99,13 +100,15 @@ def append_silver(
 
     Rows are first brought together by month, or every task would open a file for
     every month. A rebalance lets the engine split a large month over several tasks
-    and join small ones.
+    and join small ones. Files are sorted by key, so that a reader after some keys can
+    skip the rest.
     """
     rows = silver.hint("rebalance", *[F.col(c) for c in SILVER_PARTITIONS])
     if observe:
         rows = rows.observe(*observe)
     (
-        rows.write.mode("append")
+        rows.sortWithinPartitions(*SILVER_PARTITIONS, KEY)
+        .write.mode("append")
         .option("compression", COMPRESSION)
         .partitionBy(*SILVER_PARTITIONS)
         .parquet(path)

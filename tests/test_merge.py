@@ -22,7 +22,7 @@ def offsets(bronze_rows):
 def options(request):
     return {
         "shuffle": {},
-        "probe": {"small_batch": True},
+        "probe": {"expect": "small"},
         "months": {"same_partitions": True},
     }[request.param]
 
@@ -133,7 +133,52 @@ def test_merging_a_hot_key(spark, constant_bronze, tmp_path):
     batch = hot_positions(spark, constant_bronze)
     counts = merge_into(batch, str(tmp_path / "silver"))
     assert (counts.received, counts.written) == (30000, 20001)
-    assert merge_into(batch, str(tmp_path / "silver"), small_batch=True).written == 0
+    assert merge_into(batch, str(tmp_path / "silver"), expect="small").written == 0
+
+
+def test_key_ranges_cover_every_length_and_partition(spark, bronze_rows):
+    batch = curate(
+        bronze_rows(
+            *[{"kafka_offset": n} for n in (8, 9, 10, 105, 110)],
+            *[{"kafka_offset": n, "kafka_partition": 1} for n in (7000, 7009)],
+            {"kafka_offset": 3, "kafka_topic": "a-b"},
+        )
+    )
+    stored = spark.createDataFrame(
+        [(f"{stem}-{n}",) for stem in ("sales-events-0", "sales-events-1", "a-b-0") for n in range(9000)],
+        f"{KEY} string",
+    )
+    near = merge.near_keys_of(batch)
+    kept = {r[0] for r in stored.where(near).collect()}
+    assert kept >= {r[0] for r in batch.select(KEY).collect()}
+    assert len(kept) < 3000
+
+
+def test_a_small_batch_reads_only_near_keys(spark, constant_bronze, tmp_path):
+    """Files are sorted by key and the key ranges reach the Parquet scan."""
+    path = str(tmp_path / "silver")
+    ids = spark.range(100_000, 200_000).withColumnRenamed("id", "kafka_offset")
+    merge_into(curate(constant_bronze(ids)), path)
+    batch = curate(constant_bronze(ids.where("kafka_offset between 150000 and 150009")))
+    near = read_silver(spark, path).select(KEY).where(merge.near_keys_of(batch))
+    assert near.count() == 10
+    scan = near._jdf.queryExecution().executedPlan().toString()
+    assert f"GreaterThanOrEqual({KEY},sales-events-0-150000)" in scan
+    for file in (tmp_path / "silver").rglob("*.parquet"):
+        keys = [r[0] for r in spark.read.parquet(str(file)).select(KEY).collect()]
+        assert keys == sorted(keys)
+
+
+def test_a_rescan_shuffles_no_wide_row(spark, constant_bronze, tmp_path):
+    path = str(tmp_path / "silver")
+    ids = spark.range(1000).withColumnRenamed("id", "kafka_offset")
+    merge_into(curate(constant_bronze(ids.where("kafka_offset < 990"))), path)
+    batch = curate(constant_bronze(ids))
+    rows = merge.rescan_inserts(batch, read_silver(spark, path).select(KEY))
+    assert rows.count() == 10
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    below = plan.split("Exchange hashpartitioning")[1]
+    assert "BroadcastHashJoin" in below and "LeftSemi" in below
 
 
 def test_merge_shares_one_shuffle_of_the_batch(spark, bronze_rows, tmp_path):
