@@ -1,4 +1,4 @@
-"""Flat and nested forms of a bronze record."""
+"""Flat and nested forms of a bronze record, and its order."""
 
 from __future__ import annotations
 
@@ -14,3 +14,8 @@ def flatten(nested: DataFrame) -> DataFrame:
 
 def nest(flat: DataFrame) -> DataFrame:
     return flat.select(F.struct(*SALES_COLUMNS).alias("data"), *TRANSPORT_COLUMNS)
+
+
+def in_offset_order(bronze: DataFrame) -> DataFrame:
+    """The order of arrival: by topic partition, then offset as a number."""
+    return bronze.orderBy("kafka_topic", "kafka_partition", "kafka_offset")

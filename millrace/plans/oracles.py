@@ -178,6 +178,13 @@ _KEYS = f"SELECT source_kafka_offset, order_id, {_MARGIN} FROM silver"
 _ORACLES = {
     "landing_valid": f"{_BASE} SELECT {_SALES} FROM sales",
     "landing_csv": f"{_BASE} SELECT {_SALES} FROM sales",
+    "landing_missing_column": f"""{_BASE}
+      SELECT CASE WHEN order_id % 2 = 1 THEN 'MISSING_COLUMN'
+                  WHEN ship_date < order_date THEN 'SCHEMA_RULE' ELSE 'VALID' END AS outcome,
+             CASE WHEN order_id % 2 = 1 THEN 'Country'
+                  WHEN ship_date < order_date THEN 'ship_date' END AS reject_field,
+             COUNT(*) AS row_count
+      FROM raw GROUP BY 1, 2""",
     "row_cap": f"""{_BASE}
       SELECT order_id, l_linenumber AS line, ship_date >= order_date AS is_valid FROM raw
       ORDER BY order_id, l_partkey, l_suppkey, l_linenumber, l_shipdate, l_extendedprice
@@ -241,6 +248,9 @@ _ORACLES = {
     "bronze_preview": f"""{_BASE}
       SELECT {_BRONZE} FROM topic ORDER BY part_no, pos LIMIT 100""",
     "silver_transform": f"{_BASE} SELECT {_SILVER} FROM silver",
+    "margin_overflow": f"""{_BASE}
+      SELECT source_kafka_offset, 'MARGIN_OVERFLOW' AS reject_class FROM silver
+      WHERE (2 * CAST(abs(profit) AS HUGEINT) * 10000000 + rev) // (2 * rev) > 999999""",
     "silver_table": f"{_BASE} SELECT {_SILVER} FROM silver",
     "silver_month": f"""{_BASE}
       SELECT {_SILVER} FROM silver WHERE order_year = 1998 AND order_month = 5""",
@@ -268,6 +278,7 @@ _ORACLES = {
         UNION ALL SELECT source_kafka_offset FROM silver WHERE pos % 3 = 0)
       SELECT source_kafka_offset, COUNT(*) AS cnt FROM rows_twice
       GROUP BY source_kafka_offset HAVING COUNT(*) > 1""",
+    "distinct_keys": f"{_BASE} SELECT source_kafka_offset FROM silver",
     "missing_in_silver": f"""{_BASE}
       SELECT source_kafka_offset FROM silver WHERE order_month = 2""",
     "completeness": f"""{_BASE}
@@ -281,6 +292,11 @@ _ORACLES = {
     "revenue_by_country": _revenue(1998, 5),
     "revenue_by_country_prev_month": _revenue(1998, 12),
     "revenue_by_country_reference_mode": _revenue(1998, 5),
+    "adhoc_sql": f"""{_BASE}
+      SELECT country, order_year,
+             CAST(SUM(CAST(rev / 100.0 AS DECIMAL(18,4))) AS VARCHAR) AS total_revenue,
+             CAST(SUM(units_sold) AS BIGINT) AS total_units, COUNT(*) AS raw_rows
+      FROM silver GROUP BY country, order_year""",
     "manifest_changes": f"""{_PRIOR}
       SELECT f.page_id, f.url,
              {_is_new("(CASE WHEN f.k <> 6 THEN f.etag END)")} AS is_new
@@ -303,6 +319,10 @@ _ORACLES = {
     "stream_replay": f"""{_BASE}
       SELECT 'bronze' AS layer, 2 * COUNT(*) AS row_count FROM sales
       UNION ALL SELECT 'silver', COUNT(*) FROM sales""",
+    "stream_resume": f"""{_BASE},
+      n AS (SELECT COUNT(*) AS total, COUNT(*) FILTER (WHERE pos % 4 = 0) AS early FROM topic)
+      SELECT CAST(1 AS INTEGER) AS run, early AS received, early AS written FROM n
+      UNION ALL SELECT 2, total - early, total - early FROM n""",
     "stream_poison": f"""{_BASE}, {_POISON}
       SELECT COALESCE(reject_class, 'SILVER') AS outcome, COUNT(*) AS row_count
       FROM poison GROUP BY 1""",

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.coerce import parse_date, to_double, to_integer
 from millrace.operators import audit, manifest, merge
-from millrace.operators.curate import curate, to_silver
+from millrace.operators.curate import curate, overflowed, to_silver
 from millrace.operators.merge import merge_into
 from millrace.operators.messages import encode, judge_messages, judge_topic
 from millrace.operators.positions import assign_positions
@@ -175,6 +175,20 @@ def landing_csv(spark, sf_dir):
     return plain(valid(judge_landing(landing.read_landing(spark, path))))
 
 
+def landing_missing_column(spark, sf_dir):
+    """Files of odd orders lack a column: their rows are set aside, the others are not."""
+    path = fresh_path(spark, "landing")
+    even = F.pmod(F.col("_orderkey"), F.lit(2)) == 0
+    raw = raw_rows(spark, sf_dir)
+    for part, columns in ((even, HEADERS), (~even, [h for h in HEADERS if h != "Country"])):
+        raw.where(part).select(*[F.col(f"`{c}`") for c in columns]).write.mode("append").option(
+            "header", True
+        ).csv(path)
+    judged = judge_landing(landing.read_landing(spark, path))
+    outcome = F.coalesce("reject_class", F.lit("VALID")).alias("outcome")
+    return judged.groupBy(outcome, "reject_field").agg(F.count("*").alias("row_count"))
+
+
 def row_cap(spark, sf_dir):
     capped = landing.cap_rows(
         raw_rows(spark, sf_dir), 10, ["_orderkey", *_LINE]
@@ -359,6 +373,12 @@ def silver_transform(spark, sf_dir):
     return plain(to_silver(bronze(spark, sf_dir), TRANSFORMED_AT))
 
 
+def margin_overflow(spark, sf_dir):
+    """Rows whose margin does not fit, once every profit is a thousand times as large."""
+    inflated = bronze(spark, sf_dir).withColumn("total_profit", F.col("total_profit") * 1000)
+    return overflowed(inflated)
+
+
 def silver_table(spark, sf_dir):
     return plain(silver(spark, sf_dir))
 
@@ -445,6 +465,11 @@ def dedup_check(spark, sf_dir):
     return audit.dedup_check(rows.unionAll(rows.where(_offset_of(KEY) % 3 == 0)))
 
 
+def distinct_keys(spark, sf_dir):
+    rows = bronze(spark, sf_dir)
+    return audit.bronze_keys(rows.unionAll(rows))
+
+
 def missing_in_silver(spark, sf_dir):
     kept = silver(spark, sf_dir).where("order_month <> 2")
     return audit.without_silver(bronze(spark, sf_dir), kept)
@@ -479,6 +504,23 @@ def revenue_by_country_reference_mode(spark, sf_dir):
     )
 
 
+def adhoc_sql(spark, sf_dir):
+    """Plain SQL on the named layers."""
+    tables.register_views(spark, bronze_path(spark, sf_dir), silver_path(spark, sf_dir))
+    return plain(
+        spark.sql(
+            """
+            SELECT s.country, s.order_year, SUM(s.total_revenue) AS total_revenue,
+                   SUM(s.units_sold) AS total_units, COUNT(b.kafka_offset) AS raw_rows
+            FROM sales_silver s
+            JOIN sales_bronze b ON s.source_kafka_offset
+              = concat_ws('-', b.kafka_topic, b.kafka_partition, b.kafka_offset)
+            GROUP BY s.country, s.order_year
+            """
+        )
+    )
+
+
 # ------------------------------------------------------------------ files and manifest
 
 
@@ -636,6 +678,21 @@ def stream_replay(spark, sf_dir):
     )
 
 
+def stream_resume(spark, sf_dir):
+    """A topic that grows between two runs of the same streams."""
+    settings = _settings(spark, "stream")
+    messages = topic(spark, sf_dir)
+    checkpoints = [fresh_path(spark, f"checkpoint-{layer}") for layer in ("bronze", "silver")]
+    runs = []
+    for arrived in (F.col("offset") % 4 == 0, F.col("offset") % 4 != 0):
+        tables.append_topic(messages.where(arrived), settings.topic_path)
+        merged = []
+        _drain(ingest.start_bronze(spark, settings, checkpoints[0], ingested_at=INGESTED_AT))
+        _drain(ingest.start_silver(spark, settings, checkpoints[1], on_merge=merged.append))
+        runs.append((len(runs) + 1, sum(m.received for m in merged), sum(m.written for m in merged)))
+    return spark.createDataFrame(runs, "run int, received bigint, written bigint")
+
+
 def stream_poison(spark, sf_dir):
     """Bad messages are set aside and the stream goes on."""
     settings = _settings(spark, "stream")
@@ -671,6 +728,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         landing_valid,
         landing_csv,
+        landing_missing_column,
         row_cap,
         rejects_by_class,
         landing_run_counters,
@@ -686,6 +744,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         bronze_ndjson,
         bronze_preview,
         silver_transform,
+        margin_overflow,
         silver_table,
         silver_month,
         silver_partitions,
@@ -696,18 +755,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         merge_first_copy,
         strict_duplicates,
         dedup_check,
+        distinct_keys,
         missing_in_silver,
         completeness,
         layer_counts,
         revenue_by_country,
         revenue_by_country_prev_month,
         revenue_by_country_reference_mode,
+        adhoc_sql,
         manifest_changes,
         manifest_states,
         file_manifest,
         archive_records,
         stream_to_silver,
         stream_replay,
+        stream_resume,
         stream_poison,
         ingest_end_to_end,
     )

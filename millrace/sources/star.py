@@ -25,11 +25,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Below this size a table may be a single row group, which one task would read.
+_SMALL = 256 << 20
+
+
 def _spread(table: DataFrame) -> DataFrame:
-    """A table of a few files may be a single row group, which one task would read and
-    then carry through everything after. Large tables have files enough."""
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if len(table.inputFiles()) < cores else table
+    """Deal the rows of a small table out to all cores. Larger ones have splits enough."""
+    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= _SMALL:
+        return table
+    return table.repartition(table.sparkSession.sparkContext.defaultParallelism)
 
 
 def _cents_text(cents: Column) -> Column:

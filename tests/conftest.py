@@ -26,7 +26,7 @@ STABLE_ROW = dict(
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     builder = (
         SparkSession.builder.master("local[4]")
         .appName("millrace-tests")
@@ -34,7 +34,6 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")

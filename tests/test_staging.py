@@ -1,0 +1,35 @@
+import os
+from types import SimpleNamespace
+
+import pytest
+
+from millrace import staging
+
+
+def fake(conf, master="local[2]"):
+    context = SimpleNamespace(master=master, applicationId=f"app-{id(conf)}")
+    return SimpleNamespace(conf=conf, sparkContext=context)
+
+
+def test_the_shared_folder_comes_from_the_session():
+    named = fake({"spark.checkpoint.dir": "hdfs:///shared/"}, "yarn")
+    assert staging.shared_dir(named) == "hdfs:///shared"
+    local = fake({})
+    assert staging.shared_dir(local) == staging.shared_dir(local)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging.shared_dir(fake({}, "yarn"))
+
+
+def local_path(df):
+    return df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+
+
+def test_staged_tables_last_unless_scoped(spark):
+    kept = staging.stage(spark.range(10), "kept")
+    with staging.staging(spark):
+        inner = staging.stage(kept.where("id > 3"), "inner")
+        assert inner.count() == 6
+        path = local_path(inner)
+        assert os.path.isdir(path)
+    assert not os.path.exists(path)
+    assert kept.count() == 10

@@ -1,11 +1,10 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from millrace.operators.curate import curate, to_silver
 from millrace.operators.merge import merge_into
-from millrace.operators.shape import flatten, nest
+from millrace.operators.shape import flatten, in_offset_order, nest
 from millrace.schemas import BRONZE, BRONZE_NESTED, SILVER
 from millrace.sources import tables
 from millrace.sources.tables import (
@@ -88,6 +87,12 @@ def test_flat_and_nested_forms(bronze_rows):
     assert flatten(nest(rows)).exceptAll(rows).count() == 0
 
 
+def test_offset_order_is_numeric(bronze_rows):
+    rows = bronze_rows(*[{"kafka_offset": n, "kafka_partition": n % 2} for n in (10, 2, 9, 1)])
+    got = [(r.kafka_partition, r.kafka_offset) for r in in_offset_order(rows).collect()]
+    assert got == [(0, 2), (0, 10), (1, 1), (1, 9)]
+
+
 def test_silver_is_partitioned_and_pruned(spark, bronze_rows, tmp_path):
     path = str(tmp_path / "silver")
     merge_into(curate(bronze_rows({}, {})), path)
