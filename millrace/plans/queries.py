@@ -424,7 +424,7 @@ def merge_incremental(spark, sf_dir):
     """What a merge adds to a table that already holds the offsets below 1000."""
     batch = curated(spark, sf_dir)
     stored = batch.where(_offset_of(KEY) < 1000).select(KEY)
-    return plain(merge.inserts(batch, stored))
+    return plain(merge.inserts(batch, stored).select(*SILVER.fieldNames()))
 
 
 def merge_counters(spark, sf_dir):
