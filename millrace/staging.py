@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -10,30 +10,35 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-_CHECKPOINT_DIR = "spark.checkpoint.dir"
-_local_dirs: dict[str, str] = {}
 _scope: ContextVar[list[str] | None] = ContextVar("scope", default=None)
+_applications: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``.
-
-    Without one, a local-mode session gets a temporary folder of its own; anywhere
-    else a machine-local folder would be lost with its machine, so that is refused.
-    """
-    named = spark.conf.get(_CHECKPOINT_DIR, None)
-    if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError(f"set {_CHECKPOINT_DIR} to a folder every executor can reach")
-    if context.applicationId not in _local_dirs:
-        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="millrace-")
-    return _local_dirs[context.applicationId]
+    """The session's ``spark.checkpoint.dir``, or its warehouse where none is set."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return named.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/millrace/{name}-{uuid.uuid4().hex}"
+    """A new path under this application's own folder, which ``release`` removes."""
+    application = spark.sparkContext.applicationId
+    if application not in _applications:
+        _applications.add(application)
+        atexit.register(release, spark)
+    return f"{shared_dir(spark)}/millrace/{application}/{name}-{uuid.uuid4().hex}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    location = context._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(context._jsc.hadoopConfiguration()).delete(location, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all that this application has staged. Also runs when Python ends."""
+    if spark.sparkContext._jsc is not None:
+        _delete(spark, f"{shared_dir(spark)}/millrace/{spark.sparkContext.applicationId}")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -49,15 +54,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
-    """Remove at the end what ``stage`` wrote inside. Outside of any such block staged
-    tables stay, since frames that read them may still be in use."""
+    """Remove at the end what ``stage`` wrote inside. What is staged outside of any such
+    block stays until ``release``, since frames that read it may still be in use."""
     opened: list[str] = []
     token = _scope.set(opened)
     try:
         yield
     finally:
         _scope.reset(token)
-        context = spark.sparkContext
         for path in opened:
-            location = context._jvm.org.apache.hadoop.fs.Path(path)
-            location.getFileSystem(context._jsc.hadoopConfiguration()).delete(location, True)
+            _delete(spark, path)

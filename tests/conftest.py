@@ -26,7 +26,7 @@ STABLE_ROW = dict(
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     builder = (
         SparkSession.builder.master("local[4]")
         .appName("millrace-tests")
@@ -34,6 +34,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}")
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")

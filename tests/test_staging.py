@@ -1,23 +1,18 @@
 import os
 from types import SimpleNamespace
 
-import pytest
-
 from millrace import staging
 
 
-def fake(conf, master="local[2]"):
-    context = SimpleNamespace(master=master, applicationId=f"app-{id(conf)}")
-    return SimpleNamespace(conf=conf, sparkContext=context)
+def fake(conf):
+    return SimpleNamespace(conf=conf)
 
 
 def test_the_shared_folder_comes_from_the_session():
-    named = fake({"spark.checkpoint.dir": "hdfs:///shared/"}, "yarn")
-    assert staging.shared_dir(named) == "hdfs:///shared"
-    local = fake({})
-    assert staging.shared_dir(local) == staging.shared_dir(local)
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        staging.shared_dir(fake({}, "yarn"))
+    named = {"spark.checkpoint.dir": "hdfs:///shared/", "spark.sql.warehouse.dir": "hdfs:///warehouse"}
+    assert staging.shared_dir(fake(named)) == "hdfs:///shared"
+    del named["spark.checkpoint.dir"]
+    assert staging.shared_dir(fake(named)) == "hdfs:///warehouse"
 
 
 def local_path(df):
