@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.packing import pack
+from millrace.llm.simhash import simhash_groups
 from millrace.llm.tokens import count_tokens
 
 
@@ -24,8 +25,14 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grouped = simhash_groups(documents(spark, sf_dir), shingle=3, radius=2)
+    return grouped.select("doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op9_simhash_groups": op9_simhash_groups,
     "op7_token_counts": op7_token_counts,
 }
 
