@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.packing import pack
 from millrace.llm.simhash import simhash_groups
+from millrace.llm.suffix import remove_repeats
 from millrace.llm.tokens import count_tokens
 
 
@@ -20,6 +21,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir), length=200).drop("kept")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = count_tokens(documents(spark, sf_dir))
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
@@ -33,6 +38,7 @@ def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op9_simhash_groups": op9_simhash_groups,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op7_token_counts": op7_token_counts,
 }
 
