@@ -36,6 +36,15 @@ def id_remainder(id_col: str, n: int) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % n, F.lit(0)).cast("int")
 
 
+def hash_sample(df: DataFrame, n: int, *columns: str) -> DataFrame:
+    """At most ``n`` rows: the first by the hash of ``columns``, among those below twice
+    the hash that would leave ``n`` of them. So no task sends or gets many more."""
+    share = min(1.0, 2 * n / max(1, df.count()))
+    hashed = df.withColumn("hash", F.xxhash64(*columns))
+    below = F.col("hash") <= F.lit(int(-(2**63) + share * (2**64 - 1)) if share < 1 else 2**63 - 1)
+    return hashed.where(below).orderBy("hash", *columns).limit(n)
+
+
 def letters(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm import langid, linequality
+from millrace.llm.common import id_remainder
 from millrace.llm.packing import pack
+from millrace.llm.perplexity import judge
 from millrace.llm.simhash import simhash_groups
 from millrace.llm.suffix import remove_repeats
 from millrace.llm.tokens import count_tokens
@@ -17,6 +20,22 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = id_remainder("doc_id", 4) == 2
+    model = langid.fit(docs.where(~held_out))
+    return langid.predict(docs, model, "doc_id", held_out.alias("held_out")).drop("languages")
+
+
+def op2_line_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = id_remainder("doc_id", 5) == 0
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    field = linequality.fit(docs.where(~held_out).select("doc_id", "text").join(labels, "doc_id"), "quality")
+    scored = linequality.score(docs, field, "doc_id", held_out.alias("held_out"))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
@@ -35,9 +54,16 @@ def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select("doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_perplexity_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(documents(spark, sf_dir)).drop("low", "high")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_mixture": op1_language_mixture,
+    "op2_line_field": op2_line_field,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op9_simhash_groups": op9_simhash_groups,
+    "op10_perplexity_bands": op10_perplexity_bands,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op7_token_counts": op7_token_counts,
 }

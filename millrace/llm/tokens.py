@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from millrace.llm.common import renamed, tune, whole
+from millrace.llm.common import hash_sample, renamed, tune, whole
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -81,9 +81,11 @@ def _counter(name: str, key: str, frequent: dict[str, int]) -> PieceCounts:
     return _counts[name, key]
 
 
-def frequent_pieces(docs: DataFrame, name: str, text_col: str = "text") -> dict[str, int]:
+def frequent_pieces(
+    docs: DataFrame, name: str, id_col: str = "doc_id", text_col: str = "text"
+) -> dict[str, int]:
     """The token counts of the most frequent pieces in a bounded sample of documents:
-    the ``TABLE_DOCS`` first by the hash of their text. It only saves work: a piece that
+    the ``TABLE_DOCS`` first by the hash of their id and text. It only saves work: a piece that
     is not in it is encoded where it is met."""
     tune(docs.sparkSession)
 
@@ -99,14 +101,8 @@ def frequent_pieces(docs: DataFrame, name: str, text_col: str = "text") -> dict[
             names=["piece", "n"],
         )
 
-    sample = (
-        renamed(docs, text=text_col)
-        .select(whole("text").alias("text"))
-        .select("text", F.xxhash64("text").alias("h"))
-        .orderBy("h")
-        .limit(TABLE_DOCS)
-        .select("text")
-    )
+    source = renamed(docs, id=id_col, text=text_col).select("id", whole("text").alias("text"))
+    sample = hash_sample(source, TABLE_DOCS, "id", "text").select("text")
     rows = sample.coalesce(1).mapInArrow(tally, "piece string, n int").toPandas()
     return dict(zip(rows["piece"].tolist(), rows["n"].tolist(), strict=True))
 
@@ -126,7 +122,7 @@ def count_tokens(
     """
     spark = docs.sparkSession
     tune(spark)
-    table = spark.sparkContext.broadcast(frequent_pieces(docs, name, text_col))
+    table = spark.sparkContext.broadcast(frequent_pieces(docs, name, id_col, text_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(name, str(table._jbroadcast) if table._jbroadcast else table._path, table.value)
