@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import langid, linequality
 from millrace.llm.common import id_remainder
+from millrace.llm.multiindex import link_vectors
 from millrace.llm.packing import pack
 from millrace.llm.perplexity import judge
 from millrace.llm.simhash import simhash_groups
@@ -40,6 +41,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
+def op4_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), threshold=0.98)
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir), length=200).drop("kept")
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op9_simhash_groups": op9_simhash_groups,
     "op10_perplexity_bands": op10_perplexity_bands,
+    "op4_multi_index": op4_multi_index,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op7_token_counts": op7_token_counts,
 }
