@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from millrace.llm import langid, linequality
 from millrace.llm.common import id_remainder
+from millrace.llm.mixing import mix
 from millrace.llm.multiindex import link_vectors
 from millrace.llm.packing import pack
 from millrace.llm.perplexity import judge
+from millrace.llm.sharding import hilbert_shards
 from millrace.llm.simhash import simhash_groups
 from millrace.llm.suffix import remove_repeats
 from millrace.llm.tokens import count_tokens
@@ -49,11 +51,19 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir), length=200).drop("kept")
 
 
+def op6_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_shards(documents(spark, sf_dir), shards=40).drop("curve")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = count_tokens(documents(spark, sf_dir))
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op8_entropy_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = simhash_groups(documents(spark, sf_dir), shingle=3, radius=2)
     return grouped.select("doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
@@ -67,10 +77,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_mixture": op1_language_mixture,
     "op2_line_field": op2_line_field,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op8_entropy_balance": op8_entropy_balance,
     "op9_simhash_groups": op9_simhash_groups,
     "op10_perplexity_bands": op10_perplexity_bands,
     "op4_multi_index": op4_multi_index,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_hilbert_shards": op6_hilbert_shards,
     "op7_token_counts": op7_token_counts,
 }
 
