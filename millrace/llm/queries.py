@@ -86,4 +86,56 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_counts": op7_token_counts,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_multi_index": """
+        WITH RECURSIVE vec AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS v,
+                   label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+                   AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                   AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS usable
+            FROM embeddings
+        ), link AS (
+            SELECT a.vec_id AS a, b.vec_id AS b
+            FROM vec a JOIN vec b ON a.label = b.label AND a.vec_id <> b.vec_id AND a.usable AND b.usable
+            AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.98
+        ), reach AS (
+            SELECT vec_id AS a, vec_id AS b FROM vec
+            UNION
+            SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+        ), least AS (
+            SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+        )
+        SELECT vec_id, (SELECT count(*) FROM link WHERE link.a = least.vec_id) AS n_links, component_id,
+               vec_id = component_id AS kept
+        FROM least
+    """,
+    "op5_suffix_dedup": """
+        WITH doc AS (
+            SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n_bytes FROM documents
+        ), win AS (
+            SELECT doc_id, p, md5(substr(h, 2 * p + 1, 400)) AS w
+            FROM (SELECT doc_id, h, unnest(range(n_bytes - 199)) AS p FROM doc WHERE n_bytes >= 200)
+        ), hit AS (
+            SELECT doc_id, p FROM win WHERE w IN (SELECT w FROM win GROUP BY w HAVING count(*) > 1)
+        ), stepped AS (
+            SELECT doc_id, p, CASE WHEN p - lag(p) OVER own <= 200 THEN 0 ELSE 1 END AS new
+            FROM hit WINDOW own AS (PARTITION BY doc_id ORDER BY p)
+        ), numbered AS (
+            SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM stepped
+        ), span AS (
+            SELECT doc_id, k, min(p) AS a, max(p) + 200 AS b FROM numbered GROUP BY doc_id, k
+        ), edge AS (
+            SELECT doc_id, k, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY k), 0) AS f, a AS t FROM span
+            UNION ALL
+            SELECT doc_id, count(*) + 1, max(b), NULL FROM span GROUP BY doc_id
+        ), kept AS (
+            SELECT doc_id, string_agg(substr(h, 2 * f + 1, 2 * (coalesce(t, n_bytes) - f)), '' ORDER BY k) AS h
+            FROM edge JOIN doc USING (doc_id) GROUP BY doc_id
+        ), total AS (
+            SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM span GROUP BY doc_id
+        )
+        SELECT doc_id, n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(kept.h, doc.h))) AS kept_sha256
+        FROM doc LEFT JOIN total USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
+}

@@ -367,17 +367,27 @@ def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
     )
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256, kept as binary) of every row.
+def remove_repeats(
+    docs: DataFrame,
+    length: int = 200,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
+    """(id, n_bytes, n_removed, n_spans, kept_sha256, kept as binary) of every row; with
+    ``carry``, also a struct ``carried`` of those columns.
 
     Each byte that a ``length``-byte string covers which also starts anywhere else, in the
     same text or another, is removed; texts are judged as given. Null is empty, matches
     never cross texts, repeated rows are copies of each other and go whole if they are long
-    enough. ``kept`` need not be valid UTF-8: ``kept_text`` makes it so.
+    enough. ``kept`` need not be valid UTF-8, as a repeat may begin or end inside of a
+    character.
     """
     tune(docs.sparkSession)
-    source = renamed(docs, id=id_col, text=text_col).select("id", whole("text").alias("text"))
-    source = source.withColumn("th", F.xxhash64("text"))
+    carried = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(None).cast("string")
+    source = docs.select(
+        F.col(f"`{id_col}`").alias("id"), whole(F.col(f"`{text_col}`")).alias("text"), carried.alias("carried")
+    ).withColumn("th", F.xxhash64("text"))
     spans = repeated_spans(source.select("id", "th", "text"), length)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -408,15 +418,16 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
                     pa.array(spans, pa.int64()),
                     pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()),
                     pa.array(kept, pa.binary()),
+                    batch.column("carried"),
                 ],
-                names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
+                names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "carried"],
             )
 
     spans = spans.select(F.col("id").alias("of"), F.col("th").alias("of_th"), "spans")
     joined = source.join(spans, F.col("id").eqNullSafe(F.col("of")) & (F.col("th") == F.col("of_th")), "left")
     kind = source.schema["id"].dataType.simpleString()
-    return (
-        joined.select("id", "text", "spans")
-        .mapInArrow(cut, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-        .withColumnRenamed("id", id_col)
+    shape = f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    out = joined.select("id", "text", "spans", "carried").mapInArrow(
+        cut, f"{shape}, carried {source.schema['carried'].dataType.simpleString()}"
     )
+    return (out if carry else out.drop("carried")).withColumnRenamed("id", id_col)

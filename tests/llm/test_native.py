@@ -1,0 +1,112 @@
+import itertools
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm import mixing, ranks, sharding
+
+
+@pytest.mark.parametrize(("dims", "bits"), [(2, 3), (3, 2), (3, 3)])
+def test_the_curve_visits_neighbours(spark, dims, bits):
+    cells = list(itertools.product(range(1 << bits), repeat=dims))
+    df = spark.createDataFrame(cells, ", ".join(f"c{k} int" for k in range(dims)))
+    index = sharding.hilbert_index([F.col(f"c{k}") for k in range(dims)], bits)
+    rows = sorted(df.withColumn("at", index).collect(), key=lambda r: r["at"])
+    assert [r["at"] for r in rows] == list(range(len(cells)))
+    for a, b in itertools.pairwise(rows):
+        assert sum(abs(x - y) for x, y in zip(a[:dims], b[:dims], strict=True)) == 1
+
+
+def no_python(df):
+    plan = df._jdf.queryExecution().toString()
+    return not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_shards(documents, monkeypatch):
+    import zlib
+
+    rng = random.Random(1)
+    texts = [(k, rng.choice(["", None, "é" * rng.randrange(200), "same"]), rng.choice([None, "en", "fr"]), rng.choice([None, "a", "b"])) for k in range(203)]
+    texts += [(None, "x", None, None), (7, "again", "en", "a"), (7, "again", "en", "a")]
+    for shards in (7, 40, 500):
+        result = sharding.hilbert_shards(documents(texts), shards=shards)
+        assert no_python(result)
+        rows = result.collect()
+        assert sorted(((r.doc_id, r.size, r.text_crc32) for r in rows), key=repr) == sorted(
+            ((d, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for d, t, *_ in texts), key=repr
+        )
+        counts = {}
+        for r in rows:
+            counts.setdefault(r.shard, []).append(r.slot)
+        assert set(counts) <= set(range(shards))
+        sizes = [len(counts.get(k, [])) for k in range(shards)]
+        assert max(sizes) - min(sizes) <= 1
+        assert all(sorted(x) == list(range(len(x))) for x in counts.values())
+        assert {(r.law, r.grown_shard) for r in rows} == {("rows", None)}
+    assert sharding.hilbert_shards(documents([])).count() == 0
+
+
+def test_shards_as_files(spark, documents, tmp_path):
+    docs = documents([(k, f"text {k}", "en", f"s{k % 3}") for k in range(50)], clash=False)
+    path = f"file://{tmp_path}/shards"
+    sharding.write_shards(docs, sharding.hilbert_shards(docs, shards=5), path)
+    back = spark.read.parquet(path)
+    assert sorted(r["count"] for r in back.groupBy("shard").count().collect()) == [10] * 5
+    assert back.select("doc_id").distinct().count() == 50
+
+
+def targets(sizes, weights=(3, 1, 2), share=1.5, most=2.0):
+    names = sorted((x for x in sizes if x is not None)) + ([None] if None in sizes else [])
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(names)}
+    full = set()
+    while True:
+        rest = share * sum(sizes.values()) - sum(most * sizes[s] for s in full)
+        free = sum(weight[s] for s in names if s not in full)
+        out = {s: most * sizes[s] if s in full else rest * weight[s] / free for s in names}
+        over = {s for s in names if s not in full and out[s] > most * sizes[s]}
+        if not over:
+            return out
+        full |= over
+
+
+def test_mixing(documents):
+    rng = random.Random(8)
+    rows = [(k, "w " * rng.randrange(60) if k % 9 else None, "en", rng.choice("aaaabcde")) for k in range(400)]
+    rows += [(500 + k, "v " * 30, None, None) for k in range(20)] + [(900, "u u", "en", "a"), (900, "u u", "en", "a")]
+    rows += [(None, "q q q", "en", "b"), (901, "", "en", "only empty")]
+    result = mixing.mix(documents(rows))
+    assert no_python(result)
+    found = result.collect()
+    sizes, largest = {}, {}
+    for _, text, _, source in rows:
+        n = len((text or "").split())
+        sizes[source] = sizes.get(source, 0) + n
+        largest[source] = max(largest.get(source, 0), n)
+    expected = targets(sizes)
+    assert len(found) == len(rows)
+    source_of = {r[0]: r[3] for r in rows}
+    taken = dict.fromkeys(sizes, 0)
+    for r in found:
+        s = source_of[r.doc_id]
+        assert r.source_size == sizes[s] and r.target == pytest.approx(expected[s])
+        assert r.taken == r.size * r.copies <= 2 * r.size
+        taken[s] += r.taken
+    assert all(abs(taken[s] - expected[s]) <= largest[s] + 1 for s in sizes)
+    again = mixing.mix(documents(rows).repartition(2)).collect()
+    assert sorted((tuple(r) for r in again), key=repr) == sorted((tuple(r) for r in found), key=repr)
+    assert mixing.mix(documents([])).count() == 0
+
+
+def test_balance_reaches_far_targets(spark):
+    table = spark.createDataFrame([("a", 10, 20.0), ("b", 10**12, 1.0), ("c", 5, 5.0), ("d", 0, 0.0)], "source string, source_size long, target double")
+    for r in mixing.balance(table).selectExpr("source_size * exp(dual) as held", "target").collect():
+        assert r.held == pytest.approx(r.target, rel=1e-9)
+
+
+def test_ranks_are_a_total_order(spark):
+    df = spark.range(1000).selectExpr("id", "if(id % 3 = 0, 7, id % 5) as k").repartition(6)
+    rows = ranks.ranked(df, F.col("k"), F.col("id")).collect()
+    assert [r["id"] for r in sorted(rows, key=lambda r: r["rank"])] == [r["id"] for r in sorted(rows, key=lambda r: (r.k, r.id))]
+    assert sorted(r["rank"] for r in rows) == list(range(1000))
