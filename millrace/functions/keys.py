@@ -9,8 +9,3 @@ from pyspark.sql import functions as F
 def record_key(topic: Column, partition: Column, offset: Column) -> Column:
     """``topic-partition-offset``: the identity of a message, never its order id."""
     return F.concat_ws("-", topic, partition.cast("string"), offset.cast("string"))
-
-
-def route(order_id: Column, partitions: int) -> Column:
-    """Topic partition of an order; equal ids always share one."""
-    return F.pmod(order_id, F.lit(partitions)).cast("int")

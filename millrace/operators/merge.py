@@ -15,23 +15,20 @@ from millrace.schemas import KEY, SILVER, SILVER_PARTITIONS
 from millrace.sources.tables import append_silver, exists, read_silver
 from millrace.staging import stage, staging
 
-# Keys beyond this number are not broadcast. A key takes some 50 bytes.
-BROADCAST_KEYS = 1_000_000
-
-# Key ranges beyond this number become a single one.
-MAX_RANGES = 200
-
 FIRST_BY = ["bronze_ingested_at", "source_file"]
 
 
 @dataclass(frozen=True)
 class MergeCounts:
+    """``rejected`` rows cannot be held by silver; ``skipped`` ones are held already."""
+
     received: int
     written: int
+    rejected: int = 0
 
     @property
     def skipped(self) -> int:
-        return self.received - self.written
+        return self.received - self.written - self.rejected
 
 
 def first_wins(batch: DataFrame, order_by: list[str] | None = None) -> DataFrame:
@@ -46,38 +43,17 @@ def first_wins(batch: DataFrame, order_by: list[str] | None = None) -> DataFrame
     return batch.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
-def unseen(batch: DataFrame, stored_keys: DataFrame) -> DataFrame:
-    """The rows whose key is not stored. Shares its shuffle with ``first_wins``."""
-    return batch.join(stored_keys, KEY, "left_anti")
-
-
 def inserts(batch: DataFrame, stored_keys: DataFrame) -> DataFrame:
-    """The rows a merge adds. Batch and stored keys meet in one shuffle on the key."""
-    return unseen(first_wins(batch), stored_keys)
-
+    """The rows a merge adds.
 
-def small_batch_inserts(batch: DataFrame, stored_keys: DataFrame) -> DataFrame:
-    """The same for a batch that is small beside the table.
-
-    Only the stored keys around the batch's offsets are read. The batch's keys are looked
-    up in those: when the planner sees that they fit a broadcast, the stored keys are not
-    shuffled.
+    Only key columns are compared with what is stored. The keys found new then pick their
+    rows: where they are few, by a broadcast that the engine chooses by their size as
+    measured, so that nothing but new rows is shuffled; else in one shuffle, which
+    ``first_wins`` shares.
     """
     near = stored_keys.where(near_keys_of(batch))
-    return inserts(batch, near.join(batch.select(KEY), KEY, "left_semi"))
-
-
-def rescan_inserts(batch: DataFrame, stored_keys: DataFrame) -> DataFrame:
-    """The same for a batch that is mostly stored, like all of bronze once more.
-
-    Only the key columns are compared. While the keys found new are few, the rows are
-    picked where they are scanned, and nothing but the new ones is shuffled.
-    """
-    keys = batch.select(KEY).distinct()
-    fresh = stage(keys.join(stored_keys, KEY, "left_anti"), "fresh-keys")
-    if fresh.count() <= BROADCAST_KEYS:
-        return first_wins(batch.join(F.broadcast(fresh), KEY, "left_semi"))
-    return first_wins(batch).join(fresh, KEY, "left_semi")
+    fresh = batch.select(KEY).distinct().join(near, KEY, "left_anti")
+    return first_wins(batch.join(stage(fresh, "fresh-keys"), KEY, "left_semi"))
 
 
 def near_keys_of(batch: DataFrame) -> Column:
@@ -85,7 +61,8 @@ def near_keys_of(batch: DataFrame) -> Column:
 
     Offsets of one length order as text like numbers, so each topic partition and offset
     length gives one range of keys. Silver files are sorted by key, and the scan skips
-    the pages out of range. The ranges come back to the driver: a few per topic partition.
+    the pages out of range. The ranges come back to the driver: as many per topic partition as its
+    offsets have lengths, 19 at most.
     """
     offset = F.substring_index(KEY, "-", -1)
     stem = F.expr(f"left({KEY}, length({KEY}) - length(substring_index({KEY}, '-', -1)))")
@@ -97,8 +74,6 @@ def near_keys_of(batch: DataFrame) -> Column:
         .collect()
     )
     bounds = sorted((f"{r.stem}{r.low}", f"{r.stem}{r.high}") for r in ranges)
-    if len(bounds) > MAX_RANGES:
-        bounds = [(bounds[0][0], max(high for _, high in bounds))]
     return reduce(
         lambda a, b: a | b, [F.col(KEY).between(low, high) for low, high in bounds], F.lit(False)
     )
@@ -107,7 +82,8 @@ def near_keys_of(batch: DataFrame) -> Column:
 def clashes(batch: DataFrame, stored_keys: DataFrame) -> DataFrame:
     """Keys a strict merge refuses: already stored, or more than once in the batch."""
     copies = batch.groupBy(KEY).agg(F.count("*").alias("copies"))
-    stored = stored_keys.withColumn("stored", F.lit(True))
+    # Stored twice is stored: a key must not come out once per stored copy.
+    stored = stored_keys.select(KEY).distinct().withColumn("stored", F.lit(True))
     return (
         copies.join(stored, KEY, "left")
         .withColumn("stored", F.coalesce("stored", F.lit(False)))
@@ -130,21 +106,13 @@ def in_partitions_of(silver: DataFrame, batch: DataFrame) -> DataFrame:
     return silver.where(reduce(lambda a, b: a | b, touched, F.lit(False)))
 
 
-PLANS = {"any": inserts, "small": small_batch_inserts, "rescan": rescan_inserts}
-
-
 def merge_into(
-    batch: DataFrame,
-    path: str,
-    *,
-    strict: bool = False,
-    expect: str = "any",
-    same_partitions: bool = False,
+    batch: DataFrame, path: str, *, strict: bool = False, same_partitions: bool = False
 ) -> MergeCounts:
     """Append the unseen rows of ``batch`` to the silver table at ``path``.
 
-    ``expect`` says what kind of batch it is, "any", "small" beside the table or a
-    "rescan" of mostly stored rows. It picks the cheapest way to the same result.
+    Rows with a ``reject_class`` are counted and left out. The batch is evaluated once, into
+    a staged copy that all later steps read.
 
     ``same_partitions`` compares with the batch's own months only. That is exact while
     a position keeps one order date; a re-created topic reuses positions, so it is off
@@ -153,22 +121,41 @@ def merge_into(
     A crash before the commit leaves the table as it was; one during it may leave some
     of the files, whose rows the next attempt finds stored.
     """
-    spark = batch.sparkSession
+    with staging(batch.sparkSession):
+        rows, counts = stage_counted(batch, "merge-batch")
+        return merge_staged(rows, counts, path, strict=strict, same_partitions=same_partitions)
+
+
+def stage_counted(batch: DataFrame, name: str) -> tuple[DataFrame, dict[str, int]]:
+    """The staged batch, and its rows and rejects as counted while it was written."""
+    seen = Observation(name)
+    bad = F.col("reject_class").isNotNull() if "reject_class" in batch.columns else F.lit(False)
+    rows = stage(
+        batch.observe(seen, F.count(F.lit(1)).alias("received"), F.count_if(bad).alias("rejected")), name
+    )
+    return rows, seen.get
+
+
+def merge_staged(
+    rows: DataFrame, counts: dict[str, int], path: str, *, strict: bool = False, same_partitions: bool = False
+) -> MergeCounts:
+    """``merge_into`` for what ``stage_counted`` returned."""
+    spark = rows.sparkSession
+    if "reject_class" in rows.columns:
+        rows = rows.where("reject_class is null")
     silver = read_silver(spark, path)
     if same_partitions:
-        silver = in_partitions_of(silver, batch)
+        silver = in_partitions_of(silver, rows)
     stored_keys = silver.select(KEY)
     if strict:
-        first = clashes(batch, stored_keys).agg(F.min(KEY).alias(KEY)).first()[KEY]
-        if first is not None:
-            raise DuplicateKeyError(first)
-    plan = PLANS[expect] if exists(spark, path) else inserts
-    # Counted in the writing stage itself, where a retried task counts once.
+        number, first = clashes(rows, stored_keys).agg(F.count("*"), F.min(KEY)).first()
+        if number:
+            raise DuplicateKeyError(number, first)
     seen = Observation("merge")
-    with staging(spark):
-        append_silver(
-            plan(batch, stored_keys).select(*SILVER.fieldNames()),
-            path,
-            observe=(seen, F.count(F.lit(1)).alias("written")),
-        )
-    return MergeCounts(received=batch.count(), written=seen.get["written"])
+    # Counted in the writing stage itself, where a retried task counts once.
+    append_silver(
+        (inserts(rows, stored_keys) if exists(spark, path) else first_wins(rows)).select(*SILVER.fieldNames()),
+        path,
+        observe=(seen, F.count(F.lit(1)).alias("written")),
+    )
+    return MergeCounts(counts["received"], seen.get["written"], counts["rejected"])

@@ -15,7 +15,7 @@ from millrace.operators.validate import (
     _verdict,
     judge,
 )
-from millrace.schemas import FIELDS, SALES_COLUMNS
+from millrace.schemas import FIELDS, SALES_COLUMNS, TRANSPORT_COLUMNS
 
 _TEXT_FIELDS = [f.name for f in FIELDS if isinstance(f.type, T.StringType)]
 _CORRUPT = "_corrupt"
@@ -141,6 +141,7 @@ def judge_topic(
     )
 
 
-def next_offsets(topic: DataFrame) -> DataFrame:
-    """Per topic partition, the offset the next message gets."""
-    return topic.groupBy("partition").agg((F.max("offset") + 1).alias("next_offset"))
+def judge_nested(nested: DataFrame) -> DataFrame:
+    """Nested bronze as judged flat rows: a stored record must keep every rule again."""
+    text = {f.name: F.col(f"data.{f.name}").cast("string") for f in FIELDS}
+    return judge(nested, text, [F.col(c) for c in TRANSPORT_COLUMNS])

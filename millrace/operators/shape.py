@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.schemas import SALES_COLUMNS, TRANSPORT_COLUMNS
+from millrace.sources.topic import number_rows
+
+_ARRIVAL = ["kafka_topic", "kafka_partition", "kafka_offset"]
 
 
 def flatten(nested: DataFrame) -> DataFrame:
@@ -18,4 +21,9 @@ def nest(flat: DataFrame) -> DataFrame:
 
 def in_offset_order(bronze: DataFrame) -> DataFrame:
     """The order of arrival: by topic partition, then offset as a number."""
-    return bronze.orderBy("kafka_topic", "kafka_partition", "kafka_offset")
+    return bronze.orderBy(*_ARRIVAL)
+
+
+def read_rank(bronze: DataFrame) -> DataFrame:
+    """The place of each row in the order of arrival, from 0, as ``read_rank``."""
+    return number_rows(bronze.withColumn("_all", F.lit(0)), "_all", _ARRIVAL, "read_rank").drop("_all")

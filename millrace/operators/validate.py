@@ -23,6 +23,8 @@ INVALID_DATE = "INVALID_DATE"
 SCHEMA_RULE = "SCHEMA_RULE"
 BAD_TYPE = "BAD_TYPE"
 MALFORMED_JSON = "MALFORMED_JSON"
+UNREADABLE_ARCHIVE = "UNREADABLE_ARCHIVE"
+SKIPPED_MEMBER = "SKIPPED_MEMBER"
 
 # The classes on which a strict run stops instead of setting the row aside.
 HALTING = (BAD_TYPE, SCHEMA_RULE, MALFORMED_JSON)
@@ -47,10 +49,16 @@ def _text(name: str) -> str:
     return f"_text_{name}"
 
 
+# The reasons of the common rules read as consumers of the quarantine know them.
+DATE_REASON = "expected format MM/DD/YYYY or YYYY-MM-DD, got '%s'"
+ORDER_REASON = "ship_date %s is before order_date %s"
+COLUMN_REASON = "required column missing from CSV row"
+
+
 def _date_verdict(name: str) -> tuple[Column, Column]:
     text = F.col(_text(name))
     shown = F.coalesce(text, F.lit("None"))
-    reason = F.format_string("expected format MM/DD/YYYY or YYYY-MM-DD, got '%s'", shown)
+    reason = F.format_string(DATE_REASON, shown)
     failed = F.col(name).isNull() & ~F.array_contains(_ABSENT, name)
     return failed, _verdict(INVALID_DATE, name, shown, reason)
 
@@ -96,7 +104,7 @@ def judge(
                 "ship_date",
                 ship,
                 F.format_string(
-                    "ship_date %s is before order_date %s",
+                    ORDER_REASON,
                     ship.cast("string"),
                     order.cast("string"),
                 ),
@@ -142,7 +150,7 @@ def judge_landing(raw: DataFrame, *, keep: list[str] = ()) -> DataFrame:
                     MISSING_COLUMN,
                     F.col(MISSING),
                     F.lit(None),
-                    "required column missing from CSV row",
+                    COLUMN_REASON,
                 ),
             )
         ],
@@ -161,6 +169,20 @@ def rejected(judged: DataFrame) -> DataFrame:
     return judged.where(F.col("reject_class").isNotNull()).select(*carried)
 
 
+def unreadable(members: DataFrame) -> DataFrame:
+    """Reject rows for archives or members that could not be unpacked, and for members
+    that are not data files."""
+    broken = F.col("error").isNotNull()
+    return members.where(broken | F.col("file").isNull()).select(
+        "archive",
+        "member",
+        F.when(broken, UNREADABLE_ARCHIVE).otherwise(SKIPPED_MEMBER).alias("reject_class"),
+        F.when(F.col("member").isNull(), "archive").otherwise("member").alias("reject_field"),
+        F.coalesce("member", "archive").alias("reject_value"),
+        F.coalesce("error", F.lit("not a data file")).alias("reject_reason"),
+    )
+
+
 def count_classes(judged: DataFrame) -> DataFrame:
     """Rows per reject class."""
     return (

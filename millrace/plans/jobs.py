@@ -9,13 +9,19 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.curate import curate
-from millrace.operators.manifest import as_extracted, as_produced, detect_changes
-from millrace.operators.merge import MergeCounts, merge_into
-from millrace.operators.messages import encode, judge_topic, next_offsets
-from millrace.operators.positions import assign_positions
-from millrace.operators.validate import judge_landing, rejected, require_strict, valid
-from millrace.schemas import TOPIC
+from millrace.operators.manifest import as_extracted, as_produced, detect_changes, to_publish
+from millrace.operators.merge import MergeCounts, merge_staged, stage_counted
+from millrace.operators.messages import encode, judge_topic
+from millrace.operators.validate import (
+    judge_landing,
+    rejected,
+    require_strict,
+    unreadable,
+    valid,
+)
+from millrace.schemas import KEY, TOPIC
 from millrace.settings import Settings
+from millrace.sources.archive import extract_members, file_manifest
 from millrace.sources.landing import SEQUENCE, cap_rows, read_landing
 from millrace.sources.tables import (
     append_bronze,
@@ -25,7 +31,9 @@ from millrace.sources.tables import (
     read_bronze,
     read_manifest,
     read_topic,
+    replace_quarantine,
 )
+from millrace.sources.topic import assign_positions, next_offsets
 from millrace.staging import stage, staging
 
 
@@ -35,6 +43,63 @@ class RunCounts:
     skipped: int
 
 
+def extract(
+    spark: SparkSession, settings: Settings, *, glob: str = "*.zip", at: datetime | None = None
+) -> RunCounts:
+    """Unpack the archives whose version the manifest does not hold as published.
+
+    Each version gets a landing folder of its own and is noted as extracted once all its
+    members have landed. An archive with an unreadable member, or none at all, is set
+    aside and stays new, so the next cycle tries it again.
+    """
+    stamp = at or datetime.now(timezone.utc)
+    with staging(spark):
+        facts = file_manifest(spark, settings.layer("archive"), glob).select(
+            F.col("path").alias("url"),
+            F.col("checksum_md5").alias("etag"),
+            F.col("length").alias("content_length"),
+            "checksum_md5",
+        )
+        current = stage(detect_changes(facts, read_manifest(spark, settings.layer("state"))), "archives")
+        fresh = current.where("is_new").drop("is_new")
+        members = stage(extract_members(fresh, settings.layer("landing")), "members")
+        broken = members.where("error is not null").select(F.col("archive").alias("url")).distinct()
+        skipped = _quarantine(unreadable(members), settings.layer("quarantine"), "archive")
+        done = stage(fresh.join(broken, "url", "left_anti"), "extracted")
+        append_manifest(as_extracted(done, stamp), settings.layer("state"))
+        return RunCounts(done.count(), skipped)
+
+
+def publish_waiting(
+    spark: SparkSession, settings: Settings, *, multiline: bool = False, on_error: str = "quarantine"
+) -> RunCounts:
+    """Publish the landing folders of versions that are extracted and not yet produced, then
+    note them as produced. Without any, nothing is read or written.
+
+    What comes to the driver is a folder per version that waits, which is what arrived
+    since the last cycle.
+    """
+    with staging(spark):
+        waiting = stage(to_publish(read_manifest(spark, settings.layer("state"))), "waiting")
+        folders = [f"{settings.layer('landing')}/{r.checksum_md5}" for r in waiting.select("checksum_md5").distinct().collect()]
+        if not folders:
+            return RunCounts(0, 0)
+        counts = publish(spark, settings, path=sorted(folders), multiline=multiline, on_error=on_error)
+        append_manifest(as_produced(waiting), settings.layer("state"))
+        return counts
+
+
+def ingest_cycle(
+    spark: SparkSession, settings: Settings, *, at: datetime | None = None, ingested_at: datetime | None = None
+) -> MergeCounts:
+    """Archives to silver, once. A cycle that finds nothing new adds nothing anywhere."""
+    extract(spark, settings, at=at)
+    if publish_waiting(spark, settings).written == 0:
+        return MergeCounts(0, 0)
+    load_bronze(spark, settings, ingested_at=ingested_at)
+    return load_silver(spark, settings)
+
+
 def _quarantine(rejects: DataFrame, path: str, entry: str) -> int:
     seen = Observation(entry)
     append_quarantine(
@@ -48,23 +113,25 @@ def publish(
     spark: SparkSession,
     settings: Settings,
     *,
-    path: str | None = None,
-    multiline: bool | None = None,
+    path: str | list[str] | None = None,
+    multiline: bool = False,
     on_error: str = "quarantine",
 ) -> RunCounts:
     """Landing CSV to the file-backed topic.
 
     The text is parsed and judged once; numbering, quarantine and counts read the
-    staged result. ``on_error="strict"`` stops on the classes that halt a run.
+    staged result. ``on_error="strict"`` stops on the classes that halt a run. Rejects are
+    written first: a crash between the two writes loses neither, and a retry sets aside
+    the same rows again rather than sending any twice.
     """
-    raw = read_landing(spark, path or settings.landing_path, multiline=multiline)
+    raw = read_landing(spark, path or settings.layer("landing"), multiline=multiline)
     capped = cap_rows(raw, settings.max_rows)
     with staging(spark):
         judged = stage(judge_landing(capped, keep=SEQUENCE), "judged")
         if on_error == "strict":
             require_strict(judged)
+        skipped = _quarantine(rejected(judged), settings.layer("quarantine"), "landing")
         sent = publish_rows(spark, settings, valid(judged), SEQUENCE)
-        skipped = _quarantine(rejected(judged), settings.quarantine_path, "landing")
     return RunCounts(sent, skipped)
 
 
@@ -77,13 +144,13 @@ def publish_rows(
         order_by,
         topic=settings.kafka_topic,
         partitions=settings.kafka_num_partitions,
-        start=next_offsets(read_topic(spark, settings.topic_path)),
+        start=next_offsets(read_topic(spark, settings.layer("topic"))),
     )
     seen = Observation("publish")
     messages = encode(numbered).withColumn("timestamp", F.current_timestamp())
     append_topic(
         messages.select(*TOPIC.fieldNames()).observe(seen, F.count(F.lit(1)).alias("n")),
-        settings.topic_path,
+        settings.layer("topic"),
     )
     return seen.get["n"]
 
@@ -94,24 +161,25 @@ def load_bronze(
     messages: DataFrame | None = None,
     *,
     ingested_at: datetime | None = None,
+    on_error: str = "quarantine",
 ) -> RunCounts:
     """All messages of the topic to bronze in one batch. The streaming form keeps its
-    place and is what a running deployment uses."""
+    place and is what a running deployment uses.
+
+    Messages are decoded and judged once. ``on_error="strict"`` stops on the classes that
+    halt a run before anything is written.
+    """
     if messages is None:
-        messages = read_topic(spark, settings.topic_path)
-    # One stamp for both passes below.
+        messages = read_topic(spark, settings.layer("topic"))
     stamp = ingested_at or datetime.now(timezone.utc)
-    judged = judge_topic(messages, settings.landing_file, stamp)
-    seen = Observation("bronze")
-    good = F.count_if(F.col("reject_class").isNull())
-    bad = F.count_if(F.col("reject_class").isNotNull())
-    append_bronze(
-        valid(judged.observe(seen, good.alias("good"), bad.alias("bad"))), settings.bronze_path
-    )
-    # Messages are only read a second time when some were set aside.
-    if seen.get["bad"]:
-        _quarantine(rejected(judged), settings.quarantine_path, "topic")
-    return RunCounts(seen.get["good"], seen.get["bad"])
+    with staging(spark):
+        rows, counts = stage_counted(judge_topic(messages, settings.landing_file, stamp), "judged-topic")
+        if on_error == "strict":
+            require_strict(rows)
+        if counts["rejected"]:
+            replace_quarantine(rejected(rows), settings.layer("quarantine"), "topic", "rescan")
+        append_bronze(valid(rows), settings.layer("bronze"))
+    return RunCounts(counts["received"] - counts["rejected"], counts["rejected"])
 
 
 def load_silver(
@@ -124,26 +192,34 @@ def load_silver(
 ) -> MergeCounts:
     """All of bronze, curated and merged into silver."""
     if bronze is None:
-        bronze = read_bronze(spark, settings.bronze_path)
-    curated = curate(bronze, transformed_at)
-    return merge_into(
-        curated.where(F.col("reject_class").isNull()),
-        settings.silver_path,
-        strict=strict,
-        expect="rescan",
-    )
+        bronze = read_bronze(spark, settings.layer("bronze"))
+    return merge_curated(settings, curate(bronze, transformed_at), "rescan", strict=strict)
+
+
+def merge_curated(
+    settings: Settings, curated: DataFrame, name: str, *, strict: bool = False
+) -> MergeCounts:
+    """Merge what fits silver, after setting aside what does not. Rows received are those
+    written, those held already, and those rejected. The rejects of ``name`` replace those
+    of an earlier run of the same name."""
+    with staging(curated.sparkSession):
+        rows, counts = stage_counted(curated, "curated")
+        if counts["rejected"]:
+            bad = rows.where("reject_class is not null").select(KEY, "order_id", "reject_class", "source_file")
+            replace_quarantine(bad, settings.layer("quarantine"), "silver", name)
+        return merge_staged(rows, counts, settings.layer("silver"), strict=strict)
 
 
 def note_extracted(
     spark: SparkSession, settings: Settings, files: DataFrame, at: datetime
 ) -> None:
     """Record the files (url, etag, content_length, checksum_md5) that are new."""
-    known = read_manifest(spark, settings.state_path)
+    known = read_manifest(spark, settings.layer("state"))
     changed = detect_changes(files, known).where("is_new")
-    append_manifest(as_extracted(changed, at), settings.state_path)
+    append_manifest(as_extracted(changed, at), settings.layer("state"))
 
 
 def note_produced(spark: SparkSession, settings: Settings) -> None:
     """Record that everything that had landed is published."""
-    known = read_manifest(spark, settings.state_path)
-    append_manifest(as_produced(known), settings.state_path)
+    known = read_manifest(spark, settings.layer("state"))
+    append_manifest(as_produced(known), settings.layer("state"))

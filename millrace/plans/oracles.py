@@ -259,7 +259,45 @@ _ORACLES = {
       GROUP BY order_year, order_month""",
     "merge_replay": f"{_BASE} {_KEYS}",
     "merge_three_runs": f"{_BASE} {_KEYS}",
-    "merge_incremental": f"{_BASE} SELECT {_SILVER} FROM silver WHERE pos >= 1000",
+    "merge_incremental": f"{_BASE} SELECT {_SILVER} FROM silver WHERE pos % 4 = 3",
+    "strict_merge": f"""{_BASE}
+      SELECT COUNT(*) AS stored, COUNT(*) AS clashes, MIN(source_kafka_offset) AS sample
+      FROM silver WHERE pos % 5 = 0""",
+    "offset_read_order": f"""{_BASE}
+      SELECT part_no AS kafka_partition, pos AS kafka_offset,
+             row_number() OVER (ORDER BY part_no, pos) - 1 AS read_rank FROM topic""",
+    "created_tables": f"""{_BASE}
+      SELECT 'bronze' AS layer, country, COUNT(*) AS row_count FROM topic GROUP BY country
+      UNION ALL SELECT 'silver', country, COUNT(*) FROM silver GROUP BY country""",
+    "margin_zero_revenue": f"""{_BASE},
+      some AS (SELECT source_kafka_offset, CASE WHEN pos % 3 = 0 THEN 0 ELSE margin END AS margin
+               FROM silver)
+      SELECT source_kafka_offset, {_MARGIN} FROM some""",
+    "silver_rejects": f"""{_BASE},
+      judged AS (
+        SELECT CASE WHEN (2 * CAST(abs(profit) AS HUGEINT) * 10000000 + rev) // (2 * rev) > 999999
+                    THEN 'MARGIN_OVERFLOW' ELSE 'SILVER' END AS outcome FROM silver)
+      SELECT outcome, COUNT(*) AS row_count, (SELECT COUNT(*) FROM silver) AS received
+      FROM judged GROUP BY outcome""",
+    "silver_file_order": f"""{_BASE}
+      SELECT COUNT(*) AS row_count, CAST(0 AS BIGINT) AS out_of_order FROM silver""",
+    "archive_rejects": f"""{_BASE}
+      SELECT 'VALID' AS outcome, COUNT(*) + 1 AS row_count, CAST(200000 AS INTEGER) AS longest_country
+      FROM sales
+      UNION ALL SELECT 'SCHEMA_RULE', COUNT(*), CAST(MAX(length(country)) AS INTEGER)
+      FROM raw WHERE ship_date < order_date
+      UNION ALL SELECT 'UNREADABLE_ARCHIVE', 3, NULL
+      UNION ALL SELECT 'SKIPPED_MEMBER', 1, NULL""",
+    "ingest_cycle_twice": f"""{_BASE}
+      SELECT 'topic' AS layer, COUNT(*) AS row_count FROM sales
+      UNION ALL SELECT 'bronze', COUNT(*) FROM sales
+      UNION ALL SELECT 'silver', COUNT(*) FROM sales""",
+    "stream_old_file": f"""{_BASE}
+      SELECT 'bronze' AS layer, COUNT(*) AS row_count FROM sales""",
+    "stream_repeated_batch": f"""{_BASE}
+      SELECT 'bronze' AS layer, COUNT(*) AS row_count FROM sales
+      UNION ALL SELECT 'silver', COUNT(*) FROM sales""",
+    "strict_stream": "SELECT CAST(0 AS BIGINT) AS stored, true AS stopped",
     "merge_counters": f"""{_BASE},
       n AS (SELECT COUNT(*) AS total, COUNT(*) FILTER (WHERE pos % 2 = 0) AS even FROM topic)
       SELECT CAST(1 AS INTEGER) AS run, even AS received, even AS written,
@@ -291,7 +329,9 @@ _ORACLES = {
       UNION ALL SELECT 'silver', COUNT(*) FROM sales""",
     "revenue_by_country": _revenue(1998, 5),
     "revenue_by_country_prev_month": _revenue(1998, 12),
-    "revenue_by_country_reference_mode": _revenue(1998, 5),
+    "revenue_by_country_reference_mode": _revenue(1998, 5).replace(
+        "SELECT country,\n", "SELECT country, '1998-06-15' AS as_of,\n", 1
+    ),
     "adhoc_sql": f"""{_BASE}
       SELECT country, order_year,
              CAST(SUM(CAST(rev / 100.0 AS DECIMAL(18,4))) AS VARCHAR) AS total_revenue,

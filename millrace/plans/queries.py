@@ -1,42 +1,48 @@
 """Every operator as a query over the shared tables.
 
-Line items stand in for landing rows (``sources.star``). What a broker or an earlier job
-would have left behind, the topic and the bronze and silver tables, is written once per
-session and table folder; each query then reads those tables as a deployment would.
+Line items stand in for landing rows (``sources.star``); by their dates about half of them
+break the rule on shipping, so later layers hold the other half. What a broker or an earlier
+job would have left behind, the topic and the bronze and silver tables, is written once per
+session and table folder. A query reads the layer before the operator it is named for, and
+runs that operator itself.
 """
 
 from __future__ import annotations
 
 import sys
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from datetime import date, datetime, timedelta, timezone
 
 import pandas as pd
 from pyspark import TaskContext, cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import StreamingQueryException
 
 from millrace.functions.coerce import parse_date, to_double, to_integer
 from millrace.operators import audit, manifest, merge
 from millrace.operators.curate import curate, overflowed, to_silver
 from millrace.operators.merge import merge_into
-from millrace.operators.messages import encode, judge_messages, judge_topic
-from millrace.operators.positions import assign_positions
-from millrace.operators.shape import flatten, nest
+from millrace.operators.messages import encode, judge_messages, judge_nested, judge_topic
+from millrace.operators.shape import flatten, nest, read_rank
 from millrace.operators.validate import (
     count_classes,
     judge_landing,
     rejected,
     run_counters,
+    unreadable,
     valid,
 )
+from millrace.errors import DuplicateKeyError
 from millrace.plans import jobs, reports
 from millrace.schemas import HEADERS, KEY, SALES_COLUMNS, SILVER, TOPIC
 from millrace.settings import DEFAULT_TOPIC, DEFAULT_TOPIC_PARTITIONS, Settings
 from millrace.sources import archive, landing, star, tables
 from millrace.sources.archive import open_filesystem
+from millrace.sources.topic import assign_positions
 from millrace.staging import fresh_path, stage
 from millrace.streaming import ingest
 
@@ -150,7 +156,7 @@ def curated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _settings(spark: SparkSession, name: str) -> Settings:
-    return Settings(data_base_path=fresh_path(spark, name), kafka_consumer_timeout_ms=1)
+    return Settings(root=fresh_path(spark, name), kafka_consumer_timeout_ms=1)
 
 
 # --------------------------------------------------------------- landing and rejects
@@ -348,11 +354,36 @@ def poison_messages(spark, sf_dir):
 
 
 def bronze_enriched(spark, sf_dir):
-    return plain(bronze(spark, sf_dir))
+    path = fresh_path(spark, "bronze")
+    judged = judge_topic(topic(spark, sf_dir), SOURCE_FILE, INGESTED_AT)
+    tables.append_bronze(valid(judged), path)
+    return plain(tables.read_bronze(spark, path))
 
 
 def bronze_nested_roundtrip(spark, sf_dir):
-    return plain(flatten(nest(bronze(spark, sf_dir))))
+    """Nested, stored, read back and judged again as records, then flat once more."""
+    nested = stage(nest(bronze(spark, sf_dir)), "nested")
+    return plain(valid(judge_nested(nested)))
+
+
+def offset_read_order(spark, sf_dir):
+    ordered = read_rank(bronze(spark, sf_dir).unionAll(bronze(spark, sf_dir)).dropDuplicates(["kafka_partition", "kafka_offset"]))
+    return ordered.select("kafka_partition", "kafka_offset", "read_rank")
+
+
+def created_tables(spark, sf_dir):
+    """Both layers as catalog tables over the folders that jobs write."""
+    run = uuid.uuid4().hex
+    tables.create_bronze_table(spark, f"bronze_{run}", bronze_path(spark, sf_dir))
+    tables.create_silver_table(spark, f"silver_{run}", silver_path(spark, sf_dir))
+    tables.refresh_silver_table(spark, f"silver_{run}")
+    return spark.sql(
+        f"""
+        SELECT 'bronze' AS layer, country, count(*) AS row_count FROM bronze_{run} GROUP BY country
+        UNION ALL
+        SELECT 'silver', country, count(*) FROM silver_{run} GROUP BY country
+        """
+    )
 
 
 def bronze_ndjson(spark, sf_dir):
@@ -379,8 +410,46 @@ def margin_overflow(spark, sf_dir):
     return overflowed(inflated)
 
 
+def margin_zero_revenue(spark, sf_dir):
+    """Rows of every third offset earn nothing."""
+    free = F.col("kafka_offset") % 3 == 0
+    rows = bronze(spark, sf_dir).withColumn("total_revenue", F.when(free, 0.0).otherwise(F.col("total_revenue")))
+    return plain(to_silver(rows, TRANSFORMED_AT).select(KEY, "margin_pct"))
+
+
+def silver_rejects(spark, sf_dir):
+    """A load of rows of which some don't fit silver: all received are written or set aside."""
+    settings = _settings(spark, "rejects")
+    inflated = bronze(spark, sf_dir).withColumn("total_profit", F.col("total_profit") * 1000)
+    counts = jobs.load_silver(spark, settings, inflated, transformed_at=TRANSFORMED_AT)
+    jobs.load_silver(spark, settings, inflated, transformed_at=TRANSFORMED_AT)
+    aside = (
+        spark.read.option("recursiveFileLookup", True)
+        .parquet(f"{settings.layer('quarantine')}/silver")
+        .groupBy(F.col("reject_class").alias("outcome"))
+        .agg(F.count("*").alias("row_count"))
+    )
+    stored = tables.read_silver(spark, settings.layer("silver")).agg(F.count("*").alias("row_count"))
+    return aside.unionAll(stored.select(F.lit("SILVER"), "row_count")).withColumn(
+        "received", F.lit(counts.received).cast("long")
+    )
+
+
 def silver_table(spark, sf_dir):
-    return plain(silver(spark, sf_dir))
+    path = fresh_path(spark, "silver")
+    merge_into(curated(spark, sf_dir), path)
+    return plain(tables.read_silver(spark, path))
+
+
+def silver_file_order(spark, sf_dir):
+    """Neighbours in silver's files whose keys are out of order: none."""
+    rows = silver(spark, sf_dir).select(
+        KEY, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")
+    )
+    before = F.lag(KEY).over(Window.partitionBy("file").orderBy("at"))
+    return rows.withColumn("before", before).agg(
+        F.count("*").alias("row_count"), F.count_if(F.col("before") > F.col(KEY)).alias("out_of_order")
+    )
 
 
 def silver_month(spark, sf_dir):
@@ -416,17 +485,34 @@ def merge_three_runs(spark, sf_dir):
     batch = curated(spark, sf_dir)
     step = _offset_of(KEY) % 15
     for run, (low, high) in enumerate([(0, 10), (0, 10), (5, 15)]):
-        merge_into(batch.where((step >= low) & (step < high)), path, expect="small")
+        merge_into(batch.where((step >= low) & (step < high)), path)
     return plain(_merged(spark, path))
 
 
 def merge_incremental(spark, sf_dir):
-    """What a merge adds to a table that already holds the offsets below 1000."""
-    batch = curated(spark, sf_dir)
-    stored = batch.where(_offset_of(KEY) < 1000).select(KEY)
+    """What a merge adds to a stored table that lacks every fourth offset."""
+    path = fresh_path(spark, "merge")
+    batch = stage(curated(spark, sf_dir), "batch")
+    merge_into(batch.where(_offset_of(KEY) % 4 != 3), path)
+    stored = tables.read_silver(spark, path).select(KEY)
     return plain(merge.inserts(batch, stored).select(*SILVER.fieldNames()))
 
 
+def strict_merge(spark, sf_dir):
+    """A strict merge into a new table, then one of which every fifth key is stored."""
+    path = fresh_path(spark, "merge")
+    batch = curated(spark, sf_dir)
+    merge_into(batch.where(_offset_of(KEY) % 5 == 0), path, strict=True)
+    try:
+        merge_into(batch, path, strict=True)
+    except DuplicateKeyError as refused:
+        clashing, sample = refused.clashes, refused.sample
+    stored = tables.read_silver(spark, path)
+    return stored.agg(F.count("*").alias("stored")).select(
+        "stored", F.lit(clashing).cast("long").alias("clashes"), F.lit(sample).alias("sample")
+    )
+
+
 def merge_counters(spark, sf_dir):
     path = fresh_path(spark, "merge")
     batch = curated(spark, sf_dir)
@@ -448,8 +534,9 @@ def merge_first_copy(spark, sf_dir):
         }
     )
     batch = curate(late.unionAll(early), TRANSFORMED_AT).where(F.col("reject_class").isNull())
-    kept = merge.first_wins(batch).select(KEY, "margin_pct", "bronze_ingested_at")
-    return plain(kept)
+    path = fresh_path(spark, "merge")
+    merge_into(batch, path)
+    return plain(tables.read_silver(spark, path).select(KEY, "margin_pct", "bronze_ingested_at"))
 
 
 def strict_duplicates(spark, sf_dir):
@@ -499,9 +586,14 @@ def revenue_by_country_prev_month(spark, sf_dir):
 
 
 def revenue_by_country_reference_mode(spark, sf_dir):
-    return plain(
-        reports.revenue_by_country(silver(spark, sf_dir), AS_OF, mode=reports.REFERENCE)
-    )
+    """Asked in June and in January, when this mode names a month 0 and finds nothing."""
+    asked = [
+        reports.revenue_by_country(silver(spark, sf_dir), day, mode=reports.REFERENCE).withColumn(
+            "as_of", F.lit(str(day))
+        )
+        for day in (AS_OF, AS_OF_JANUARY)
+    ]
+    return plain(asked[0].unionAll(asked[1]))
 
 
 def adhoc_sql(spark, sf_dir):
@@ -576,8 +668,7 @@ _PAGES_PER_FILE = 100
 
 
 def file_manifest(spark, sf_dir):
-    """Pages written as text files of a hundred each, then listed and hashed; the larger
-    files as streams."""
+    """Pages written as text files of a hundred each, then listed and hashed."""
     path = fresh_path(spark, "pages")
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select(
         F.expr(f"page_id div {_PAGES_PER_FILE}").alias("file_no"), "page_id", "html"
@@ -589,7 +680,7 @@ def file_manifest(spark, sf_dir):
         .write.partitionBy("file_no")
         .text(path)
     )
-    files = archive.file_manifest(spark, path, "*.txt", stream_above=1 << 20)
+    files = archive.file_manifest(spark, path, "*.txt")
     return files.select(
         F.regexp_extract("path", "file_no=([0-9]+)/", 1).cast("bigint").alias("file_no"),
         "length",
@@ -618,15 +709,57 @@ def _zip_batches(directory: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[
     return write
 
 
-def archive_records(spark, sf_dir):
-    """All raw rows, packed by their tasks into archives and read back."""
-    path = fresh_path(spark, "archives")
+def _write_archives(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """All raw rows, packed by their tasks into archives."""
     filesystem, inner = open_filesystem(path)
     filesystem.create_dir(inner)
     rows = raw_rows(spark, sf_dir).select(*[F.col(f"`{h}`") for h in HEADERS])
-    written = rows.mapInPandas(_zip_batches(path), "archive string, members int")
-    written.write.parquet(fresh_path(spark, "archive-list"))
-    return plain(valid(judge_landing(archive.read_archives(spark, path))))
+    stage(rows.mapInPandas(_zip_batches(path), "archive string, members int"), "archive-list")
+
+
+def archive_records(spark, sf_dir):
+    path = fresh_path(spark, "archives")
+    _write_archives(spark, sf_dir, path)
+    raw, _ = archive.read_archives(spark, path)
+    return plain(valid(judge_landing(raw)))
+
+
+_LONG = 200_000
+
+
+def archive_rejects(spark, sf_dir):
+    """Three files that are no archives and one member that is no data file among the good
+    ones, and a field longer than most readers take."""
+    path = fresh_path(spark, "archives")
+    _write_archives(spark, sf_dir, path)
+    filesystem, inner = open_filesystem(path)
+    for k in range(3):
+        with filesystem.open_output_stream(f"{inner}/broken-{k}.zip") as out:
+            out.write(b"no archive" * k)
+    first = [spark.read.parquet(f"{sf_dir}/{t}.parquet").first() for t in ("region",)][0]["r_name"]
+    with filesystem.open_output_stream(f"{inner}/odd.zip") as out, zipfile.ZipFile(out, "w") as opened:
+        opened.writestr("note.txt", first)
+        fields = ["1", first, "x" * _LONG, "i", "Online", "H", "1/3/2010", "2/9/2010", "1", "1", "1", "1", "1", "0"]
+        opened.writestr("long.csv", "\n".join([",".join(HEADERS), ",".join(fields)]) + "\n")
+    raw, members = archive.read_archives(spark, path)
+    outcome = F.coalesce("reject_class", F.lit("VALID")).alias("outcome")
+    rows = judge_landing(raw).select(outcome, F.length("country").alias("n"))
+    rows = rows.groupBy("outcome").agg(F.count("*").alias("row_count"), F.max("n").alias("longest_country"))
+    aside = unreadable(members).groupBy(F.col("reject_class").alias("outcome")).agg(F.count("*").alias("row_count"))
+    return rows.unionAll(aside.withColumn("longest_country", F.lit(None).cast("int")))
+
+
+def ingest_cycle_twice(spark, sf_dir):
+    """Archives to silver, twice over: the manifest keeps the second cycle from adding."""
+    settings = _settings(spark, "cycle")
+    _write_archives(spark, sf_dir, settings.layer("archive"))
+    for day in range(2):
+        jobs.ingest_cycle(spark, settings, at=INGESTED_AT + timedelta(days=day), ingested_at=INGESTED_AT)
+    return audit.layer_counts(
+        topic=tables.read_topic(spark, settings.layer("topic")),
+        bronze=tables.read_bronze(spark, settings.layer("bronze")),
+        silver=tables.read_silver(spark, settings.layer("silver")),
+    )
 
 
 # ------------------------------------------------------------------------- streaming
@@ -664,7 +797,7 @@ def _stream_layers(
 def stream_to_silver(spark, sf_dir):
     settings = _settings(spark, "stream")
     _stream_layers(spark, sf_dir, settings, "a")
-    return plain(tables.read_silver(spark, settings.silver_path))
+    return plain(tables.read_silver(spark, settings.layer("silver")))
 
 
 def stream_replay(spark, sf_dir):
@@ -673,8 +806,8 @@ def stream_replay(spark, sf_dir):
     _stream_layers(spark, sf_dir, settings, "a")
     _stream_layers(spark, sf_dir, settings, "b")
     return audit.layer_counts(
-        bronze=tables.read_bronze(spark, settings.bronze_path),
-        silver=tables.read_silver(spark, settings.silver_path),
+        bronze=tables.read_bronze(spark, settings.layer("bronze")),
+        silver=tables.read_silver(spark, settings.layer("silver")),
     )
 
 
@@ -685,7 +818,7 @@ def stream_resume(spark, sf_dir):
     checkpoints = [fresh_path(spark, f"checkpoint-{layer}") for layer in ("bronze", "silver")]
     runs = []
     for arrived in (F.col("offset") % 4 == 0, F.col("offset") % 4 != 0):
-        tables.append_topic(messages.where(arrived), settings.topic_path)
+        tables.append_topic(messages.where(arrived), settings.layer("topic"))
         merged = []
         _drain(ingest.start_bronze(spark, settings, checkpoints[0], ingested_at=INGESTED_AT))
         _drain(ingest.start_silver(spark, settings, checkpoints[1], on_merge=merged.append))
@@ -693,6 +826,67 @@ def stream_resume(spark, sf_dir):
     return spark.createDataFrame(runs, "run int, received bigint, written bigint")
 
 
+def stream_old_file(spark, sf_dir):
+    """Files that come late and carry a stamp far older than those already read."""
+    settings = _settings(spark, "stream")
+    messages = topic(spark, sf_dir)
+    tables.append_topic(messages.where(F.col("offset") % 4 == 0), settings.layer("topic"))
+    _drain(ingest.start_bronze(spark, settings, bronze := fresh_path(spark, "checkpoint-bronze"), ingested_at=INGESTED_AT))
+    late = fresh_path(spark, "late")
+    tables.append_topic(messages.where(F.col("offset") % 4 != 0), late)
+    files, folder = _hadoop(spark, late)
+    names = [x.getPath() for x in files.listStatus(folder) if x.getPath().getName().startswith("part-")]
+    month_ago = names and files.getFileStatus(names[0]).getModificationTime() - 30 * 24 * 3600 * 1000
+    _, target = _hadoop(spark, settings.layer("topic"))
+    for name in names:
+        files.setTimes(name, month_ago, -1)
+        files.rename(name, target)
+    _drain(ingest.start_bronze(spark, settings, bronze, ingested_at=INGESTED_AT))
+    return audit.layer_counts(bronze=tables.read_bronze(spark, settings.layer("bronze")))
+
+
+def _hadoop(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    location = context._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(context._jsc.hadoopConfiguration()), location
+
+
+def stream_repeated_batch(spark, sf_dir):
+    """Both streams run once more after the commit of their last batch was lost."""
+    settings = _settings(spark, "stream")
+    checkpoints = [fresh_path(spark, f"checkpoint-{layer}") for layer in ("bronze", "silver")]
+    for _ in range(2):
+        source = ingest.topic_stream(spark, topic_path(spark, sf_dir), max_files=3)
+        _drain(ingest.start_bronze(spark, settings, checkpoints[0], source, ingested_at=INGESTED_AT))
+        _drain(ingest.start_silver(spark, settings, checkpoints[1], transformed_at=TRANSFORMED_AT))
+        for checkpoint in checkpoints:
+            files, commits = _hadoop(spark, f"{checkpoint}/commits")
+            numbers = [x.getPath() for x in files.listStatus(commits) if x.getPath().getName().isdigit()]
+            files.delete(max(numbers, key=lambda x: int(x.getName())), False)
+    return audit.layer_counts(
+        bronze=tables.read_bronze(spark, settings.layer("bronze")),
+        silver=tables.read_silver(spark, settings.layer("silver")),
+    )
+
+
+def strict_stream(spark, sf_dir):
+    """A strict bronze stream over poisoned messages stops and stores nothing."""
+    settings = _settings(spark, "stream")
+    messages = fresh_path(spark, "poisoned")
+    tables.append_topic(_poisoned(spark, sf_dir), messages)
+    source = ingest.topic_stream(spark, messages, max_files=100_000)
+    query = ingest.start_bronze(
+        spark, settings, fresh_path(spark, "checkpoint"), source, ingested_at=INGESTED_AT, on_error="strict"
+    )
+    try:
+        query.awaitTermination()
+        stopped = False
+    except StreamingQueryException as error:
+        stopped = "StrictValidationError" in str(error)
+    stored = tables.read_bronze(spark, settings.layer("bronze")).agg(F.count("*").alias("stored"))
+    return stored.withColumn("stopped", F.lit(stopped))
+
+
 def stream_poison(spark, sf_dir):
     """Bad messages are set aside and the stream goes on."""
     settings = _settings(spark, "stream")
@@ -701,11 +895,11 @@ def stream_poison(spark, sf_dir):
     _stream_layers(spark, sf_dir, settings, "a", messages)
     aside = (
         spark.read.option("recursiveFileLookup", True)
-        .parquet(settings.quarantine_path)
+        .parquet(settings.layer("quarantine"))
         .groupBy(F.col("reject_class").alias("outcome"))
         .agg(F.count("*").alias("row_count"))
     )
-    kept = tables.read_silver(spark, settings.silver_path).agg(
+    kept = tables.read_silver(spark, settings.layer("silver")).agg(
         F.count("*").alias("row_count")
     )
     return aside.unionAll(kept.select(F.lit("SILVER").alias("outcome"), "row_count"))
@@ -714,13 +908,13 @@ def stream_poison(spark, sf_dir):
 def ingest_end_to_end(spark, sf_dir):
     """The batch jobs one after the other, from CSV files to silver."""
     settings = _settings(spark, "jobs")
-    _write_landing(raw_rows(spark, sf_dir), settings.landing_path)
+    _write_landing(raw_rows(spark, sf_dir), settings.layer("landing"))
     jobs.publish(spark, settings)
     jobs.load_bronze(spark, settings, ingested_at=INGESTED_AT)
     jobs.load_silver(spark, settings, transformed_at=TRANSFORMED_AT)
     jobs.load_silver(spark, settings, transformed_at=TRANSFORMED_AT)
     without = [c for c in SILVER.fieldNames() if c not in (KEY, "silver_transformed_at")]
-    return plain(tables.read_silver(spark, settings.silver_path).select(*without))
+    return plain(tables.read_silver(spark, settings.layer("silver")).select(*without))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -741,17 +935,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         poison_messages,
         bronze_enriched,
         bronze_nested_roundtrip,
+        offset_read_order,
+        created_tables,
         bronze_ndjson,
         bronze_preview,
         silver_transform,
         margin_overflow,
+        margin_zero_revenue,
+        silver_rejects,
         silver_table,
+        silver_file_order,
         silver_month,
         silver_partitions,
         merge_replay,
         merge_three_runs,
         merge_incremental,
         merge_counters,
+        strict_merge,
         merge_first_copy,
         strict_duplicates,
         dedup_check,
@@ -767,10 +967,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         manifest_states,
         file_manifest,
         archive_records,
+        archive_rejects,
+        ingest_cycle_twice,
         stream_to_silver,
         stream_replay,
         stream_resume,
         stream_poison,
+        stream_old_file,
+        stream_repeated_batch,
+        strict_stream,
         ingest_end_to_end,
     )
 }

@@ -18,7 +18,17 @@ SETTINGS = {
 }
 
 
-def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
+# Bytes that a shuffled partition may hold before the engine joins small ones.
+PARTITION_BYTES = 128 << 20
+
+
+def configure(builder: SparkSession.Builder, input_bytes: int | None = None) -> SparkSession.Builder:
+    """``input_bytes``, where given, sets the partitions that shuffles begin with: the engine
+    joins small ones at run time but does not split large ones of a sort or an
+    aggregation."""
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    if input_bytes:
+        first = max(200, -(-input_bytes // PARTITION_BYTES))
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", first)
     return builder

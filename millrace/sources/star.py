@@ -25,18 +25,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# Below this size a table may be a single row group, which one task would read.
-_SMALL = 256 << 20
-
-
-def _spread(table: DataFrame) -> DataFrame:
-    """Deal the rows of a small table out to all cores. Larger ones have splits enough."""
-    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size >= _SMALL:
-        return table
-    return table.repartition(table.sparkSession.sparkContext.defaultParallelism)
-
-
 def _cents_text(cents: Column) -> Column:
     size = F.abs(cents)
     parts = [
@@ -54,7 +42,8 @@ def sales_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     Even orders write dates as M/D/YYYY, odd ones as YYYY-MM-DD.
     """
     lineitem = _table(spark, sf_dir, "lineitem")
-    lineitem = _spread(lineitem.withColumn("_row_index", F.col("_metadata.row_index")))
+    # Dealt by the key that the first join needs them by.
+    lineitem = lineitem.withColumn("_row_index", F.col("_metadata.row_index")).repartition("l_orderkey")
     orders = _table(spark, sf_dir, "orders")
     customer = _table(spark, sf_dir, "customer")
     nation = _table(spark, sf_dir, "nation")

@@ -53,7 +53,10 @@ def append_bronze(bronze: DataFrame, path: str) -> None:
 
 
 def replace_batch(bronze: DataFrame, path: str, batch: str) -> None:
-    """Write a batch to the folder its name decides: written again, it replaces itself."""
+    """Write a batch to the folder its name decides. A batch that is there whole stays:
+    its files may have been listed by readers, and a repeated batch has the same rows."""
+    if exists(bronze.sparkSession, f"{path}/{batch}/_SUCCESS"):
+        return
     (
         bronze.select(*BRONZE.fieldNames())
         .write.mode("overwrite")
@@ -128,6 +131,13 @@ def append_quarantine(rejects: DataFrame, path: str) -> None:
     rejects.write.mode("append").option("compression", COMPRESSION).parquet(path)
 
 
+def replace_quarantine(rejects: DataFrame, path: str, entry: str, name: str) -> None:
+    """Write the rejects of a run that may be repeated to the folder its name decides."""
+    rejects.withColumn("entry", F.lit(entry)).write.mode("overwrite").option(
+        "compression", COMPRESSION
+    ).parquet(f"{path}/{entry}/{name}")
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Every file version ever noted; ``manifest.latest`` gives the current ones."""
     return _or_empty(spark, path, MANIFEST, spark.read.schema(MANIFEST).parquet)

@@ -1,4 +1,4 @@
-"""Offsets for messages that no broker has numbered.
+"""The file-backed topic's numbering: offsets for messages that no broker has numbered.
 
 Numbering a topic partition means ranking all its rows, and with three partitions a
 plain window would pull a third of the data into one task. Instead the rows are
@@ -11,13 +11,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.keys import route
 from millrace.staging import stage
 
 # monotonically_increasing_id keeps the task number above this many bits.
 _ROW_BITS = 33
 
 
+def route(order_id: Column, partitions: int) -> Column:
+    """Topic partition of an order; equal ids always share one."""
+    return F.pmod(order_id, F.lit(partitions)).cast("int")
+
+
+def next_offsets(topic: DataFrame) -> DataFrame:
+    """Per topic partition, the offset the next message gets."""
+    return topic.groupBy("partition").agg((F.max("offset") + 1).alias("next_offset"))
+
+
 def number_rows(
     rows: DataFrame,
     group: str,

@@ -54,6 +54,25 @@ def csv_rows(spark):
     return make
 
 
+@pytest.fixture
+def landing_rows(spark):
+    """``n`` raw landing rows with distinct order ids, all good."""
+
+    def make(n, seed=0):
+        k = F.col("id") + seed * 7919
+        day = F.date_add(F.lit(dt.date(2016, 2, 1)), (k * 37 % 2000).cast("int"))
+        units, price, cost = 1 + k * 31 % 900, 200 + k * 17 % 5000, 100 + k * 13 % 90
+        values = [
+            F.col("id") + seed * 1_000_000, F.concat(F.lit("region "), k % 5), F.concat(F.lit("country "), k % 25),
+            F.concat(F.lit("item "), k % 9), F.element_at(F.array(F.lit("Online"), F.lit("Offline")), (k % 2 + 1).cast("int")),
+            F.lit("M"), day, F.date_add(day, (k % 50).cast("int")), units, price / 4, cost / 4, units * price / 4,
+            units * cost / 4, units * (price - cost) / 4,
+        ]
+        return spark.range(0, n, 1, 4).select(*[v.cast("string").alias(h) for v, h in zip(values, HEADERS)])
+
+    return make
+
+
 @pytest.fixture
 def bronze_rows(spark):
     """Bronze rows with distinct positions unless they are given."""

@@ -3,15 +3,16 @@ import hashlib
 import io
 import zipfile
 
+import pandas as pd
 import pytest
 
 from millrace import Settings
 from millrace.operators import manifest
-from millrace.operators.validate import judge_landing, rejected, valid
+from millrace.operators.validate import judge_landing, rejected, unreadable, valid
 from millrace.plans import jobs
 from millrace.schemas import HEADERS, MANIFEST
 from millrace.sources.archive import file_manifest, list_members, read_archives
-from millrace.sources.tables import read_manifest
+from millrace.sources.tables import read_manifest, read_topic
 
 from conftest import STABLE_ROW, STAMP
 
@@ -32,7 +33,7 @@ def test_checksums(spark, tmp_path):
     blobs = {f"f{i}.bin": bytes([i]) * size for i, size in enumerate((0, 10, 5000, 3_000_000))}
     for name, blob in blobs.items():
         (tmp_path / name).write_bytes(blob)
-    got = file_manifest(spark, str(tmp_path), stream_above=1000).collect()
+    got = file_manifest(spark, str(tmp_path)).collect()
     assert {r.path.rsplit("/", 1)[1]: (r.length, r.checksum_md5) for r in got} == {
         name: (len(blob), hashlib.md5(blob).hexdigest()) for name, blob in blobs.items()
     }
@@ -48,17 +49,18 @@ def test_members_and_records(spark, tmp_path):
     assert sorted(r.member for r in members) == [
         "../../evil.csv", "note.txt", "one.csv", "sub/two.CSV",
     ]
-    raw = read_archives(spark, str(tmp_path))
+    raw, report = read_archives(spark, str(tmp_path))
     good = valid(judge_landing(raw))
     assert sorted(r.order_id for r in good.collect()) == [1, 2, 3, 4]
-    assert raw.where("error is not null").count() == 0
+    assert [(r.reject_class, r.member) for r in unreadable(report).collect()] == [("SKIPPED_MEMBER", "note.txt")]
     assert sorted(p.name for p in tmp_path.iterdir()) == ["a b.zip", "b.zip"]
 
 
 def test_more_records_than_a_batch_and_quoted_line_ends(spark, tmp_path):
     text = csv_text(*range(25_000)).replace("Europe", '"two\nlines"', 1)
     write_zip(tmp_path / "big.zip", {"big.csv": text})
-    good = valid(judge_landing(read_archives(spark, str(tmp_path))))
+    raw, _ = read_archives(spark, str(tmp_path), multiline=True)
+    good = valid(judge_landing(raw))
     assert good.count() == 25_000
     assert good.where("order_id = 0").first().region == "two\nlines"
 
@@ -73,15 +75,30 @@ def test_corrupt_archives_are_reject_rows(spark, tmp_path):
     blob = bytearray(buffer.getvalue())
     blob[2000:4000] = bytes(2000)
     (tmp_path / "damaged.zip").write_bytes(blob)
-    rows = read_archives(spark, str(tmp_path))
-    errors = {r.archive.rsplit("/", 1)[1]: r.member for r in rows.where("error is not null").collect()}
+    write_zip(tmp_path / "long.zip", {"a.csv": csv_text(2).replace("Europe", "x" * 200_000)})
+    rows, report = read_archives(spark, str(tmp_path))
+    errors = {
+        r.archive.rsplit("/", 1)[1]: r.member
+        for r in unreadable(report).where("reject_class = 'UNREADABLE_ARCHIVE'").collect()
+    }
     assert errors == {"broken.zip": None, "empty.zip": None, "damaged.zip": "cut.csv"}
-    assert 1 in {r.order_id for r in valid(judge_landing(rows.where("error is null"))).collect()}
+    # A member lands whole or not at all.
+    good = {r.order_id: len(r.region) for r in valid(judge_landing(rows)).collect()}
+    assert good == {1: 6, 2: 200_000}
+
+
+def test_a_fault_of_the_store_is_no_broken_archive(spark, tmp_path, monkeypatch):
+    from millrace.sources import archive
+
+    monkeypatch.setattr(archive, "_open", lambda path: (_ for _ in ()).throw(OSError("gone")))
+    batch = pd.DataFrame({"archive": ["a.zip"], "member": ["m.csv"], "version": ["v"]})
+    with pytest.raises(OSError, match="gone"):
+        list(archive._extract_batches(str(tmp_path))(iter([batch])))
 
 
 def test_a_member_without_a_column(spark, tmp_path):
     write_zip(tmp_path / "a.zip", {"a.csv": csv_text(1, headers=[h for h in HEADERS if h != "Region"])})
-    bad = rejected(judge_landing(read_archives(spark, str(tmp_path)))).collect()
+    bad = rejected(judge_landing(read_archives(spark, str(tmp_path))[0])).collect()
     assert [(r.reject_class, r.reject_field) for r in bad] == [("MISSING_COLUMN", "Region")]
 
 
@@ -122,10 +139,10 @@ def files(spark):
 
 
 def test_a_version_moves_from_extracted_to_produced(spark, files, tmp_path):
-    settings = Settings(data_base_path=str(tmp_path))
+    settings = Settings(root=str(tmp_path))
     states = lambda: {
         (r.url, r.etag): r.status
-        for r in manifest.latest(read_manifest(spark, settings.state_path)).collect()
+        for r in manifest.latest(read_manifest(spark, settings.layer("state"))).collect()
     }
     day = lambda n: STAMP + dt.timedelta(days=n)
     jobs.note_extracted(spark, settings, files(("a", "1", 5), ("b", "1", 5)), day(0))
@@ -133,7 +150,26 @@ def test_a_version_moves_from_extracted_to_produced(spark, files, tmp_path):
     jobs.note_produced(spark, settings)
     assert states() == {("a", "1"): "produced", ("b", "1"): "produced"}
     jobs.note_extracted(spark, settings, files(("a", "1", 5), ("b", "2", 5)), day(1))
-    waiting = manifest.to_publish(read_manifest(spark, settings.state_path)).collect()
+    waiting = manifest.to_publish(read_manifest(spark, settings.layer("state"))).collect()
     assert [(r.url, r.etag) for r in waiting] == [("b", "2")]
     jobs.note_produced(spark, settings)
     assert states() == {("a", "1"): "produced", ("b", "2"): "produced"}
+
+
+def test_cycles_are_gated_by_the_manifest(spark, tmp_path):
+    settings = Settings(str(tmp_path / "lake"))
+    archives = tmp_path / "lake" / "archive"
+    archives.mkdir(parents=True)
+    write_zip(archives / "a.zip", {"one.csv": csv_text(1, 2), "two.csv": csv_text(3)})
+    (archives / "bad.zip").write_bytes(b"not a zip")
+    first = jobs.ingest_cycle(spark, settings)
+    assert (first.received, first.written) == (3, 3)
+    assert jobs.ingest_cycle(spark, settings).written == 0
+    assert read_topic(spark, settings.layer("topic")).count() == 3
+    # A new version of an archive is published, others are not published again.
+    write_zip(archives / "a.zip", {"one.csv": csv_text(1, 2, 4)})
+    write_zip(archives / "bad.zip", {"now good.csv": csv_text(9)})
+    jobs.ingest_cycle(spark, settings)
+    assert read_topic(spark, settings.layer("topic")).count() == 3 + 3 + 1
+    aside = spark.read.parquet(f"{settings.layer('quarantine')}/archive")
+    assert {r.reject_class for r in aside.collect()} == {"UNREADABLE_ARCHIVE"}

@@ -3,8 +3,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators.messages import as_text, encode, judge_topic, next_offsets
-from millrace.operators.positions import assign_positions, number_rows
+from millrace.operators.messages import as_text, encode, judge_topic
+from millrace.sources.topic import assign_positions, next_offsets, number_rows
 from millrace.operators.validate import judge_landing, rejected, valid
 from millrace.schemas import SALES_COLUMNS, TOPIC
 
