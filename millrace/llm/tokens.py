@@ -26,7 +26,8 @@ from millrace.llm.common import hash_sample, renamed, tune, whole
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Pieces a worker keeps besides the broadcast ones. It starts anew beyond.
+#: Pieces of a generation of a worker's cache. A full one becomes the old one, and pieces
+#: met again move over to the new: the frequent ones stay.
 CACHE_PIECES = 250_000
 #: Documents whose pieces are counted for the broadcast table, its rows, and the longest
 #: piece it holds: together they bound its size.
@@ -46,24 +47,38 @@ def vocabulary(name: str) -> str:
     return name if os.path.sep in name else public_tokenizers.path(name)
 
 
-class PieceCounts(dict):
+class Generations(dict):
+    """What was made of the pieces met, in two generations, besides a given table."""
+
+    def __init__(self, given: dict) -> None:
+        super().__init__(given)
+        self.given, self.old = given, {}
+
+    def __missing__(self, piece: str):
+        value = self.old.get(piece)
+        if value is None:
+            value = self.make(piece)
+        if len(self) >= len(self.given) + CACHE_PIECES:
+            self.old = dict(self)
+            self.clear()
+            self.update(self.given)
+        self[piece] = value
+        return value
+
+
+class PieceCounts(Generations):
     """How many tokens a piece has: first the frequent pieces, then those met since."""
 
     def __init__(self, name: str, frequent: dict[str, int]) -> None:
         super().__init__(frequent)
-        self.frequent = frequent
         self.tokenizer = Tokenizer.from_file(vocabulary(name))
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = re.compile("|".join(re.escape(x.content) for x in added) or r"(?!)")
 
-    def __missing__(self, piece: str) -> int:
-        if len(self) >= len(self.frequent) + CACHE_PIECES:
-            self.clear()
-            self.update(self.frequent)
-        self[piece] = n = len(self.tokenizer.encode(piece, add_special_tokens=False).ids)
-        return n
+    def make(self, piece: str) -> int:
+        return len(self.tokenizer.encode(piece, add_special_tokens=False).ids)
 
     def count(self, text: str) -> int:
         """The special strings are one token each; what is between them stands alone."""
@@ -140,7 +155,7 @@ def count_tokens(
     return source.mapInArrow(run, f"id {kind}, n_bytes long, n_tokens long").withColumnRenamed("id", id_col)
 
 
-class WordIds(dict):
+class WordIds(Generations):
     """The ids of a run without ASCII white space, as little-endian unsigned 32-bit
     bytes, for a vocabulary of byte pairs with word ends.
 
@@ -150,7 +165,7 @@ class WordIds(dict):
     """
 
     def __init__(self, name: str) -> None:
-        super().__init__()
+        super().__init__({})
         path = vocabulary(name)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
@@ -159,7 +174,8 @@ class WordIds(dict):
             parts = json.load(file)
         model = parts["model"]
         self.words = regex.compile(parts["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
-        self.special = [x["content"] for x in parts["added_tokens"]]
+        special = [x["content"] for x in parts["added_tokens"]]
+        self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)").search
         suffix = model["end_of_word_suffix"]
         vocab = model["vocab"]
         shown = _shown_bytes()
@@ -168,7 +184,7 @@ class WordIds(dict):
             end = token.endswith(suffix)
             return bytes(shown[c] for c in (token[: -len(suffix)] if end else token)) + b"\xff" * end
 
-        single = {as_bytes(k): v for k, v in vocab.items() if k not in self.special}
+        single = {as_bytes(k): v for k, v in vocab.items() if k not in special}
         ranks = {bytes([b]): b for b in range(256)}
         ids = [single.get(bytes([b]), 0) for b in range(256)]
         for end in (bytes([b, 255]) for b in range(256)):
@@ -179,26 +195,23 @@ class WordIds(dict):
             left, right = pair if isinstance(pair, list) else pair.split(" ")
             ranks[as_bytes(left + right)] = len(ids)
             ids.append(vocab[left + right])
-        self.ids = np.array(ids, "<u4")
+        self.ids = [x.to_bytes(4, "little") for x in ids]
+        self.joined = b"".join
         self.merges = tiktoken.Encoding(
             "words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={}
-        )._core_bpe
+        )._core_bpe.encode_single_piece
 
     #: Characters that normalising leaves alone but for their case, which has one letter.
-    plain = re.compile("[!-~\xa1-\xa7\xa9\xab-\xae\xb0\xb1\xb6\xb7\xbb\xbf-\xff]+")
+    plain = re.compile("[!-~\xa1-\xa7\xa9\xab-\xae\xb0\xb1\xb6\xb7\xbb\xbf-\xff]+").fullmatch
 
-    def __missing__(self, run: str) -> bytes:
-        if len(self) >= CACHE_PIECES:
-            self.clear()
-        if self.plain.fullmatch(run) and not any(x in run for x in self.special):
+    def make(self, run: str) -> bytes:
+        if self.plain(run) and not self.special(run):
             low = run.lower()
-            words = (low,) if low.isalpha() else self.words.findall(low)
-            found = [i for x in words for i in self.merges.encode_single_piece(x.encode() + b"\xff")]
-            ids = self.ids[found].tobytes()
-        else:
-            ids = np.array(self.tokenizer.encode(run, add_special_tokens=False).ids, "<u4").tobytes()
-        self[run] = ids
-        return ids
+            if low.isalpha():
+                return self.joined(map(self.ids.__getitem__, self.merges(low.encode() + b"\xff")))
+            found = (i for x in self.words.findall(low) for i in self.merges(x.encode() + b"\xff"))
+            return self.joined(map(self.ids.__getitem__, found))
+        return np.array(self.tokenizer.encode(run, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, _runs(text)))
