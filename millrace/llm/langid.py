@@ -108,14 +108,19 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Mode
     table = np.zeros((BUCKETS, len(languages)))
     table[counts.column("bucket").to_numpy(), [place[x] for x in counts.column("lang").to_pylist()]] = counts.column("n")
     logs = np.log((table + SMOOTHING) / (table.sum(0) + SMOOTHING * BUCKETS))
-    # What no language has seen says nothing.
-    logs[table.sum(1) == 0] = 0
-    vectors = logs - logs.mean(1, keepdims=True)
-    kind = _kinds(vectors, table.sum(1) + 1e-6, KINDS)
-    weight = table.sum(1) + 1e-6
-    total = np.bincount(kind, weight, KINDS)
+    # Kind 0 are the buckets that no language has seen: they say nothing.
+    weight = table.sum(1)
+    seen = np.flatnonzero(weight)
+    vectors = (logs - logs.mean(1, keepdims=True))[seen]
+    kind = np.zeros(BUCKETS, np.int64)
+    kind[seen] = 1 + _kinds(vectors, weight[seen], KINDS - 1)
+    total = np.bincount(kind[seen], weight[seen], KINDS)
     means = np.stack(
-        [np.bincount(kind, weight * vectors[:, k], KINDS) / np.maximum(total, 1e-9) for k in range(len(languages))], 1
+        [
+            np.bincount(kind[seen], weight[seen] * vectors[:, k], KINDS) / np.maximum(total, 1e-9)
+            for k in range(len(languages))
+        ],
+        1,
     )
     return Model(languages, kind.astype(np.uint8), np.exp(means - means.max(1, keepdims=True)))
 

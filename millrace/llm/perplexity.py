@@ -250,7 +250,7 @@ def judge(
     # What is broadcast is a row a language, as the models are.
     passed = measured.where("not base_failed")
     middle = passed.groupBy("lang").agg(F.percentile_approx("log_perplexity", 0.5, 10_000).alias("middle"))
-    spread = F.sqrt(1 / F.col("n_bytes") + 1 / F.lit(STEADY))
+    spread = F.sqrt(1 / F.greatest("n_bytes", F.lit(1)) + 1 / F.lit(STEADY))
     away = (F.col("log_perplexity") - F.col("middle")) / spread
     bands = (
         passed.join(F.broadcast(middle), "lang")
