@@ -188,16 +188,20 @@ def _marginals(
     return good, np.bincount(row, good * weight, n) / np.bincount(row, weight, n)
 
 
-def fit(docs: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text") -> Field:
+def fit(
+    docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text"
+) -> Field:
     """Maximise the likelihood of the lines' labels, each that of its text, over the
-    ``FIT_DOCS`` labelled documents that are first by the hash of their id and text. Rows
-    without a label teach nothing; without any label all texts score a half."""
+    ``FIT_DOCS`` labelled documents that are first by the hash of their id. ``labels`` has the
+    ids and labels; ids alone are joined to find the sample, and only its texts are fetched.
+    Rows without a label teach nothing; without any label all texts score a half."""
     tune(docs.sparkSession)
-    labelled = renamed(docs, id=id_col, text=text_col, label=label_col).where("label is not null")
-    labelled = labelled.select(
-        F.col("id").cast("string").alias("id"), whole("text").alias("text"), F.col("label").cast("int").alias("label")
-    )
-    sample = hash_sample(labelled, FIT_DOCS, "id", "text", "label").withColumnRenamed("hash", "h")
+    texts = renamed(docs, id=id_col, text=text_col).select("id", whole("text").alias("text"))
+    known = renamed(labels, id=id_col, label=label_col).where("label is not null")
+    known = known.select("id", F.col("label").cast("int").alias("label")).join(texts.select("id").distinct(), "id")
+    # At most FIT_DOCS ids are broadcast; an id that many rows share is cut again.
+    wanted = F.broadcast(hash_sample(known, FIT_DOCS, "id", "label").withColumnRenamed("hash", "h"))
+    sample = texts.join(wanted, "id").orderBy("h", "label", "text").limit(FIT_DOCS).select("h", "label", "text")
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -33,8 +33,8 @@ def op1_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_line_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = id_remainder("doc_id", 5) == 0
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    field = linequality.fit(docs.where(~held_out).select("doc_id", "text").join(labels, "doc_id"), "quality")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    field = linequality.fit(docs.where(~held_out), labels, "quality")
     scored = linequality.score(docs, field, "doc_id", held_out.alias("held_out"))
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 

@@ -103,12 +103,12 @@ def test_quality_on_held_out_texts(spark, documents, rows_of):
     labels = spark.createDataFrame([(k, int(k < 200)) for k, _ in good + bad if k % 4] + [(500, None)], "doc_id long, quality int")
     odd = [(600, None, "en", "s"), (601, "", "en", "s"), (602, "word " * 200_000, "en", "s")]
     docs = documents([*rows, *odd]).drop("score")
-    field = linequality.fit(docs.join(labels, "doc_id"), "quality")
+    field = linequality.fit(docs, labels, "quality")
     found = rows_of(linequality.score(docs, field, "doc_id"), "score", "line_quality")
     assert all((found[k][0][0] >= 0.3) == (k < 200) for k, _ in good + bad if k % 4 == 0)
     assert all(0 <= x[0][0] <= 1 for x in found.values())
     assert len(found[0][0][1]) == good[0][1].count("\n") + 1
-    nothing = linequality.fit(docs.limit(0).withColumn("quality", docs.n_chars), "quality")
+    nothing = linequality.fit(docs, labels.limit(0), "quality")
     assert all(abs(r.score - 0.5) < 1e-9 for r in linequality.score(docs, nothing, "doc_id").collect())
 
 
