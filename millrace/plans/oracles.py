@@ -270,9 +270,9 @@ _ORACLES = {
       SELECT 'bronze' AS layer, country, COUNT(*) AS row_count FROM topic GROUP BY country
       UNION ALL SELECT 'silver', country, COUNT(*) FROM silver GROUP BY country""",
     "margin_zero_revenue": f"""{_BASE},
-      some AS (SELECT source_kafka_offset, CASE WHEN pos % 3 = 0 THEN 0 ELSE margin END AS margin
+      priced AS (SELECT source_kafka_offset, CASE WHEN pos % 3 = 0 THEN 0 ELSE margin END AS margin
                FROM silver)
-      SELECT source_kafka_offset, {_MARGIN} FROM some""",
+      SELECT source_kafka_offset, {_MARGIN} FROM priced""",
     "silver_rejects": f"""{_BASE},
       judged AS (
         SELECT CASE WHEN (2 * CAST(abs(profit) AS HUGEINT) * 10000000 + rev) // (2 * rev) > 999999
