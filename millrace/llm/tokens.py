@@ -10,6 +10,7 @@ import json
 import os
 import re
 import unicodedata
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -90,6 +91,7 @@ _counts: dict[tuple, PieceCounts] = {}
 
 
 def _counter(name: str, key: str, frequent: dict[str, int]) -> PieceCounts:
+    """A worker's cache, kept from task to task of one run."""
     if (name, key) not in _counts:
         _counts.clear()
         _counts[name, key] = PieceCounts(name, frequent)
@@ -138,9 +140,10 @@ def count_tokens(
     spark = docs.sparkSession
     tune(spark)
     table = spark.sparkContext.broadcast(frequent_pieces(docs, name, id_col, text_col))
+    run_id = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _counter(name, str(table._jbroadcast) if table._jbroadcast else table._path, table.value)
+        counter = _counter(name, run_id, table.value)
         for batch in batches:
             n = [counter.count(x) for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
