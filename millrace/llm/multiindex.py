@@ -17,9 +17,10 @@ from millrace.staging import stage
 #: Distinct vectors that the codebooks are fitted to, at most.
 FIT_ROWS = 20_000
 FIT_STEPS = 10
-#: Words in the codebook of each half: this times the fourth root of the vectors, so that
-#: cells get fuller only as the square root of their number.
-WORDS, WORDS_MOST = 4, 256
+#: Words in the codebook of each half: about the fourth root of the largest label's vectors,
+#: so that the number of cells, and how full they are, both grow as its square root. A visit
+#: costs a shuffled row, a comparison only a few dozen machine operations.
+WORDS_MOST = 256
 #: Vectors that live in a cell, beyond which it is dealt to several tasks; and rows that are
 #: compared with them at a time.
 CELL, BLOCK = 4_096, 1_024
@@ -31,8 +32,8 @@ def usable(v: Column) -> Column:
     return F.coalesce(~odd & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def _units(binary: list[bytes], dim: int) -> np.ndarray:
-    x = np.frombuffer(b"".join(binary), np.float64).reshape(-1, dim)
+def _units(binary: list[bytes], dim: int, kind: str = "f8") -> np.ndarray:
+    x = np.frombuffer(b"".join(binary), kind).reshape(-1, dim).astype(np.float64)
     # Scaled first, so that squares neither overflow nor vanish.
     x = x / np.abs(x).max(1, keepdims=True)
     return x / np.sqrt((x * x).sum(1, keepdims=True))
@@ -148,17 +149,14 @@ def link_vectors(
     rows = renamed(table, **named)
     if not label_col:
         rows = rows.withColumn("label", F.lit(0))
-    rows = rows.withColumn("v", F.col("v").cast("array<double>"))
+    if rows.schema["v"].dataType.simpleString() != "array<float>":
+        rows = rows.withColumn("v", F.col("v").cast("array<double>"))
     fit_for_use = usable(F.col("v")) & F.col("label").isNotNull() & F.col("id").isNotNull()
     classes = stage(
         rows.where(fit_for_use).groupBy("label", "v").agg(F.min("id").cast("long").alias("node"), F.count("*").alias("copies")),
         "vector-classes",
     )
-    n = classes.count()
-    if n == 0:
-        linked = None
-    else:
-        linked = _linked(classes, n, threshold, cell)
+    linked = None if classes.isEmpty() else _linked(classes, threshold, cell)
     if linked is not None:
         totals, joined = linked
         classes = (
@@ -182,14 +180,16 @@ def link_vectors(
     )
 
 
-def _linked(classes: DataFrame, n: int, threshold: float, cell: int) -> tuple[DataFrame, DataFrame]:
+def _linked(classes: DataFrame, threshold: float, cell: int) -> tuple[DataFrame, DataFrame]:
     """(node, links) summed, and (node, component)."""
     spark = classes.sparkSession
+    kind = "f4" if classes.schema["v"].dataType.simpleString() == "array<float>" else "f8"
     sample = hash_sample(classes, FIT_ROWS, "node").select("v").toArrow().column("v").to_pylist()
-    wanted = min(WORDS_MOST, int(np.ceil(WORDS * n**0.25)))
+    largest = classes.groupBy("label").count().agg(F.max("count")).first()[0]
+    wanted = min(WORDS_MOST, int(np.ceil(largest**0.25)))
     books = {}
     for dim in {len(v) for v in sample}:
-        x = _units([np.array(v).tobytes() for v in sample if len(v) == dim], dim)
+        x = _units([np.array(v, "f8").tobytes() for v in sample if len(v) == dim], dim)
         books[dim] = (_codebook(x[:, : dim // 2], wanted), _codebook(x[:, dim // 2 :], wanted))
     known = spark.sparkContext.broadcast(books)
     reach = 2 * (1 - threshold) + 1e-9
@@ -204,7 +204,7 @@ def _linked(classes: DataFrame, n: int, threshold: float, cell: int) -> tuple[Da
                 # A length that the sample lacks has a single cell.
                 one = np.zeros((1, dim))
                 left, right = books.get(dim, (one[:, : dim // 2], one[:, dim // 2 :]))
-                x = _units([np.array(vectors[k]).tobytes() for k in mine], dim)
+                x = _units([np.array(vectors[k], "f8").tobytes() for k in mine], dim)
                 own_left, first = _bounds(x[:, : dim // 2], left)
                 own_right, second = _bounds(x[:, dim // 2 :], right)
                 own = own_left * len(right) + own_right
@@ -222,13 +222,13 @@ def _linked(classes: DataFrame, n: int, threshold: float, cell: int) -> tuple[Da
                     pa.array([len(vectors[k]) for k in where], pa.int32()),
                     pa.array(cells, pa.int64()),
                     pa.array(lives, pa.bool_()),
-                    pa.array([np.array(vectors[k]).tobytes() for k in where], pa.binary()),
+                    pa.array([np.array(v, kind).tobytes() for v in vectors], pa.binary()).take(take),
                 ],
                 names=["label", "node", "copies", "dim", "cell", "lives", "x"],
             )
 
-    kind = classes.schema["label"].dataType.simpleString()
-    shape = f"label {kind}, node long, copies long, dim int, cell long, lives boolean, x binary"
+    label = classes.schema["label"].dataType.simpleString()
+    shape = f"label {label}, node long, copies long, dim int, cell long, lives boolean, x binary"
     dealt = stage(classes.select("label", "v", "node", "copies").mapInArrow(deal, shape), "vector-visits")
     place = ["label", "dim", "cell"]
     crowded = dealt.where("lives").groupBy(*place).count().where(F.col("count") > cell)
@@ -270,11 +270,11 @@ def _linked(classes: DataFrame, n: int, threshold: float, cell: int) -> tuple[Da
                 guests.clear()
                 return
             if open_ is None:
-                open_ = _Cell([x[0] for x in home], [x[1] for x in home], _units([x[2] for x in home], dim), threshold)
+                open_ = _Cell([x[0] for x in home], [x[1] for x in home], _units([x[2] for x in home], dim, kind), threshold)
                 open_.inside()
             if guests:
                 nodes = [x[0] for x in guests]
-                met = open_.meet(nodes, [x[1] for x in guests], _units([x[2] for x in guests], dim))
+                met = open_.meet(nodes, [x[1] for x in guests], _units([x[2] for x in guests], dim, kind))
                 edges, open_.edges = open_.edges, []
                 yield from batch_of([(x, int(k)) for x, k in zip(nodes, met, strict=True) if k], edges)
                 guests.clear()
