@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import SLICE_BYTES, raw, renamed, slices, tune, whole
+from millrace.llm.common import SLICE_BYTES, raw, slices, tune, whole
 from millrace.staging import stage
 
 #: Bytes of the strings whose least hash is a window's key; a power of two.
