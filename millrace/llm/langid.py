@@ -15,8 +15,8 @@ from millrace.llm.common import letters, raw, renamed, slices, tune, whole
 #: Buckets that byte trigrams are hashed to, and the kinds of buckets told apart: buckets
 #: whose likelihoods under all languages are about the same count as one kind.
 BUCKETS, KINDS = 1 << 16, 256
-#: Steps of a text's expectation-maximisation, and the most languages a text is given.
-STEPS, MOST_LANGUAGES = 12, 3
+#: Steps of a text's expectation-maximisation.
+STEPS = 12
 #: A byte is in three trigrams: that much of their likelihoods' sum is evidence.
 OVERLAP = 3
 SMOOTHING = 0.5
@@ -137,27 +137,36 @@ def _mix(counts: np.ndarray, likelihood: np.ndarray, allowed: np.ndarray) -> tup
 
 
 def infer(model: Model, counts: np.ndarray) -> np.ndarray:
-    """The proportions of each row's languages (0 for those not selected): the set of up to
-    ``MOST_LANGUAGES`` whose likelihood, less half the logarithm of the evidence for every
-    language but the first, is the greatest."""
+    """The proportions of each row's languages (0 for those not selected). From the likeliest
+    one alone, the language of the greatest gain in likelihood is added until none gains half
+    the logarithm of the evidence."""
     n_rows, n_langs = len(counts), len(model.languages)
-    every = np.ones((n_rows, n_langs), bool)
-    share, _ = _mix(counts, model.likelihood, every)
     alone = counts @ np.log(model.likelihood)
-    first = alone.argmax(1)
-    rank = share.copy()
-    rank[np.arange(n_rows), first] = 2
-    order = np.argsort(-rank, axis=1, kind="stable")
-    evidence = counts.sum(1) / OVERLAP
-    chosen = np.zeros((n_rows, n_langs))
-    best = np.full(n_rows, -np.inf)
-    for size in range(1, min(MOST_LANGUAGES, n_langs) + 1):
-        allowed = np.zeros((n_rows, n_langs), bool)
-        np.put_along_axis(allowed, order[:, :size], True, 1)
-        share, fit_ = _mix(counts, model.likelihood, allowed)
-        value = fit_ / OVERLAP - (size - 1) * 0.5 * np.log(np.maximum(evidence, 2))
-        better = value > best + 1e-9
-        chosen[better], best[better] = share[better], value[better]
+    allowed = np.zeros((n_rows, n_langs), bool)
+    allowed[np.arange(n_rows), alone.argmax(1)] = True
+    chosen, best = allowed.astype(float), alone.max(1) / OVERLAP
+    price = 0.5 * np.log(np.maximum(counts.sum(1) / OVERLAP, 2))
+    active = np.arange(n_rows)
+    for _ in range(1, n_langs):
+        own = counts[active]
+        slope = (own / np.maximum(chosen[active] @ model.likelihood.T, 1e-300)) @ model.likelihood
+        # A share of a language with a lesser slope lowers the likelihood.
+        rising = ~allowed[active] & (slope > own.sum(1, keepdims=True))
+        top, share, added = np.full(len(active), -np.inf), chosen[active], np.zeros(len(active), int)
+        for lang in np.flatnonzero(rising.any(0)):
+            some = np.flatnonzero(rising[:, lang])
+            wider = allowed[active[some]]
+            wider[:, lang] = True
+            mixed, fit_ = _mix(own[some], model.likelihood, wider)
+            better = fit_ / OVERLAP > top[some]
+            at = some[better]
+            top[at], share[at], added[at] = fit_[better] / OVERLAP, mixed[better], lang
+        pays = top > best[active] + price[active] + 1e-9
+        active = active[pays]
+        if not len(active):
+            break
+        best[active], chosen[active] = top[pays], share[pays]
+        allowed[active, added[pays]] = True
     return chosen
 
 

@@ -1,0 +1,16 @@
+import numpy as np
+
+from millrace.llm import langid
+
+
+def test_a_text_has_as_many_languages_as_pay():
+    """Each language has a kind of its own; texts are even mixtures of 1 to 6 of them."""
+    names = list("abcdef")
+    likelihood = np.where(np.eye(6, dtype=bool), 1.0, 0.02)
+    model = langid.Model(names, np.zeros(0, np.uint8), likelihood)
+    counts = np.array([[300.0 if k < n else 0.0 for k in range(6)] for n in range(1, 7)])
+    shares = langid.infer(model, counts)
+    assert (shares > 0).sum(1).tolist() == [1, 2, 3, 4, 5, 6]
+    assert np.allclose(shares.max(1), [1 / n for n in range(1, 7)], atol=0.01)
+    assert (langid.infer(model, np.array([[300.0, 1, 1, 0, 0, 0]])) > 0).sum() == 1
+    assert (langid.infer(model, np.zeros((1, 6))) > 0).sum() == 1
