@@ -10,19 +10,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from millrace.schemas import BRONZE, HEADERS  # noqa: E402
-
-STAMP = dt.datetime(2021, 1, 1, tzinfo=dt.timezone.utc)
-
-# The pinned CSV row.
-STABLE_ROW = dict(
-    zip(
-        HEADERS,
-        [
-            "123456", "Europe", "France", "Beverages", "Online", "H", "1/3/2010", "2/9/2010",
-            "250", "9.99", "5.50", "2497.50", "1375.00", "1122.50",
-        ],
-    )
-)
+from samples import STABLE_ROW, STAMP  # noqa: E402
 
 
 @pytest.fixture(scope="session")

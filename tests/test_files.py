@@ -14,7 +14,7 @@ from millrace.schemas import HEADERS, MANIFEST
 from millrace.sources.archive import file_manifest, list_members, read_archives
 from millrace.sources.tables import read_manifest, read_topic
 
-from conftest import STABLE_ROW, STAMP
+from samples import STABLE_ROW, STAMP
 
 
 def csv_text(*ids, headers=HEADERS):

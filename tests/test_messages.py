@@ -8,7 +8,7 @@ from millrace.sources.topic import assign_positions, next_offsets, number_rows
 from millrace.operators.validate import judge_landing, rejected, valid
 from millrace.schemas import SALES_COLUMNS, TOPIC
 
-from conftest import STAMP
+from samples import STAMP
 
 
 @pytest.fixture

@@ -7,7 +7,7 @@ from millrace.functions.money import exact_mean
 from millrace.operators.curate import curate, overflowed, to_silver
 from millrace.schemas import KEY, SILVER
 
-from conftest import STAMP
+from samples import STAMP
 
 
 def test_schema(bronze_rows):
