@@ -25,7 +25,7 @@ from millrace.llm.common import renamed, tune, whole
 from millrace.staging import fresh_path, stage, staging
 
 #: Bytes of text in a segment; a longer text is a segment of its own.
-SEGMENT_BYTES = 16 << 20
+SEGMENT_BYTES = 8 << 20
 #: Postings of a block.
 BLOCK = 128
 #: Documents of a segment that are ranked at a time, at first; later windows are larger, as
@@ -226,7 +226,7 @@ def impact(often, m):
 
 def norms(lengths: list[int], documents: int, total: int) -> np.ndarray:
     """Lengths as the score takes them. The products may need more than 64 bits."""
-    return np.array([25 + 75 * n * documents // total for n in lengths], np.int64)
+    return np.array([25 + 75 * n * documents // max(1, total) for n in lengths], np.int64)
 
 
 class Searcher:
@@ -321,7 +321,9 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, item_col: str = "i
     terms that no document has, give no rows.
     """
     kind = next(f for f in index.schema if f.name == "ids").dataType.elementType.simpleString()
-    sums = index.where(F.col("term") == DOCUMENTS).agg(F.sum("n").alias("documents"), F.sum("total").alias("total")).first()
+    sums = index.where(F.col("term") == DOCUMENTS).agg(
+        F.sum("n").alias("documents"), F.sum("total").alias("total"), F.count("*").alias("segments")
+    ).first()
     documents, total = sums.documents or 0, sums.total or 0
     terms = stage(query_terms(queries, item_col, text_col), "query-terms")
     item_kind = terms.schema["item"].dataType.simpleString()
@@ -338,11 +340,13 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, item_col: str = "i
         .agg(F.collect_list(F.struct("item", (F.col("repeats") * F.col("weight")).alias("weight"))).alias("uses"))
     )
     uses = stage(uses, "query-uses")
-    everywhere = uses.select("block").distinct().withColumn("term", F.lit(DOCUMENTS))
     kept = ["segment", "term", "last", "block_most", "block_least", "stop", "postings", "ids", "lengths"]
     own = lists.select(*kept).join(uses, "term")
-    docs = index.where(F.col("term") == DOCUMENTS).select(*kept).join(everywhere, "term")
-    both = own.unionByName(docs, allowMissingColumns=True)
+    each = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1).cast("long"))).alias("block")
+    docs = index.where(F.col("term") == DOCUMENTS).select(*kept, each)
+    # Few bytes are much work here: the engine must not join small partitions.
+    tasks = max(1, min(sums.segments * blocks, 4 * index.sparkSession.sparkContext.defaultParallelism))
+    both = own.unionByName(docs, allowMissingColumns=True).repartition(tasks, "segment", "block")
 
     def run(table: pa.Table) -> pa.Table:
         lists, items, lengths, ids = [], {}, [], []
