@@ -17,6 +17,12 @@ from millrace.staging import stage, staging
 
 FIRST_BY = ["bronze_ingested_at", "source_file"]
 
+# Batches up to so many rows look their keys up one by one; the stored files' Bloom filters
+# then give about a fifth of the row groups a false hit. Larger ones go by ranges.
+LOOKUPS = 2_000
+# Parts that all offsets of one length are looked at in.
+PARTS = 32
+
 
 @dataclass(frozen=True)
 class MergeCounts:
@@ -43,40 +49,64 @@ def first_wins(batch: DataFrame, order_by: list[str] | None = None) -> DataFrame
     return batch.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
-def inserts(batch: DataFrame, stored_keys: DataFrame) -> DataFrame:
-    """The rows a merge adds.
+def inserts(batch: DataFrame, stored_keys: DataFrame, received: int | None = None) -> DataFrame:
+    """The rows a merge adds, of a batch of ``received`` rows where that is known.
 
     Only key columns are compared with what is stored. The keys found new then pick their
     rows: where they are few, by a broadcast that the engine chooses by their size as
     measured, so that nothing but new rows is shuffled; else in one shuffle, which
     ``first_wins`` shares.
     """
-    near = stored_keys.where(near_keys_of(batch))
+    few = received is not None and received <= LOOKUPS
+    near = stored_keys.where(keys_of(batch) if few else near_keys_of(batch))
     fresh = batch.select(KEY).distinct().join(near, KEY, "left_anti")
     return first_wins(batch.join(stage(fresh, "fresh-keys"), KEY, "left_semi"))
 
 
-def near_keys_of(batch: DataFrame) -> Column:
+def keys_of(batch: DataFrame) -> Column:
+    """A filter for the very keys of a batch of at most ``LOOKUPS`` rows, which come to the
+    driver. The scan asks each row group's statistics and Bloom filter for them, so offsets
+    scattered over a whole topic read few groups."""
+    keys = [r[KEY] for r in batch.select(KEY).distinct().collect()]
+    return F.col(KEY).isin(keys) if keys else F.lit(False)
+
+
+def near_keys_of(batch: DataFrame, parts: int = PARTS) -> Column:
     """A filter that every stored key equal to one of the batch passes.
 
-    Offsets of one length order as text like numbers, so each topic partition and offset
-    length gives one range of keys. Silver files are sorted by key, and the scan skips
-    the pages out of range. The ranges come back to the driver: as many per topic partition as its
-    offsets have lengths, 19 at most.
+    Offsets of one length order as text like numbers, so ranges of offsets are ranges of
+    keys. Silver files are sorted by key, and the scan skips the pages out of range. Offsets of
+    one length are divided evenly, and parts with keys that follow each other are one range: a
+    batch of stretches far from each other reads no more than these, a dense one is a
+    single test. The parts' ends come to the driver, ``parts`` at most for each topic partition
+    and length of its offsets.
     """
-    offset = F.substring_index(KEY, "-", -1)
+    text = F.substring_index(KEY, "-", -1)
+    offset = text.cast("bigint")
     stem = F.expr(f"left({KEY}, length({KEY}) - length(substring_index({KEY}, '-', -1)))")
-    ranges = (
-        batch.groupBy(stem.alias("stem"), F.length(offset).alias("digits"))
-        .agg(
-            F.min(offset.cast("bigint")).alias("low"), F.max(offset.cast("bigint")).alias("high")
-        )
+    own = batch.select(stem.alias("stem"), F.length(text).alias("digits"), offset.alias("offset"))
+    part = F.floor(F.col("offset") / F.pow(F.lit(10.0), "digits") * parts).alias("part")
+    held = (
+        own.groupBy("stem", "digits", part)
+        .agg(F.min("offset").alias("low"), F.max("offset").alias("high"))
         .collect()
     )
-    bounds = sorted((f"{r.stem}{r.low}", f"{r.stem}{r.high}") for r in ranges)
-    return reduce(
-        lambda a, b: a | b, [F.col(KEY).between(low, high) for low, high in bounds], F.lit(False)
-    )
+    bounds, before = [], None
+    for r in sorted(held, key=lambda r: (r.stem, r.digits, r.part)):
+        if before == (r.stem, r.digits, r.part - 1):
+            bounds[-1][1] = f"{r.stem}{r.high}"
+        else:
+            bounds.append([f"{r.stem}{r.low}", f"{r.stem}{r.high}"])
+        before = (r.stem, r.digits, r.part)
+    return _any([F.col(KEY).between(low, high) for low, high in bounds])
+
+
+def _any(tests: list[Column]) -> Column:
+    """Whether one of them holds, as a tree that is not deep."""
+    if len(tests) < 2:
+        return tests[0] if tests else F.lit(False)
+    half = len(tests) // 2
+    return _any(tests[:half]) | _any(tests[half:])
 
 
 def clashes(batch: DataFrame, stored_keys: DataFrame) -> DataFrame:
@@ -154,7 +184,7 @@ def merge_staged(
     seen = Observation("merge")
     # Counted in the writing stage itself, where a retried task counts once.
     append_silver(
-        (inserts(rows, stored_keys) if exists(spark, path) else first_wins(rows)).select(*SILVER.fieldNames()),
+        (inserts(rows, stored_keys, counts["received"]) if exists(spark, path) else first_wins(rows)).select(*SILVER.fieldNames()),
         path,
         observe=(seen, F.count(F.lit(1)).alias("written")),
     )

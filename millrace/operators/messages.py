@@ -119,16 +119,17 @@ def judge_messages(messages: DataFrame, *, keep: list[str]) -> DataFrame:
 
 
 def judge_topic(
-    messages: DataFrame, source_file: str, ingested_at: datetime | Column | None = None
+    messages: DataFrame, source_file: str | None, ingested_at: datetime | Column | None = None
 ) -> DataFrame:
     """Messages to judged bronze rows: the record plus where it came from.
 
-    Give ``ingested_at`` to have repeated reads of one batch agree.
+    Give ``ingested_at`` to have repeated reads of one batch agree. Without a
+    ``source_file`` the messages bring their own as a column.
     """
     stamp = F.current_timestamp() if ingested_at is None else ingested_at
     stamp = stamp if isinstance(stamp, Column) else F.lit(stamp)
     positions = ["topic", "partition", "offset", "timestamp"]
-    judged = judge_messages(messages, keep=positions)
+    judged = judge_messages(messages, keep=positions if source_file is not None else [*positions, "source_file"])
     return judged.select(
         *SALES_COLUMNS,
         F.col("topic").alias("kafka_topic"),
@@ -136,7 +137,7 @@ def judge_topic(
         F.col("offset").alias("kafka_offset"),
         F.unix_millis("timestamp").alias("kafka_timestamp_ms"),
         stamp.cast("timestamp").alias("ingested_at"),
-        F.lit(source_file).alias("source_file"),
+        (F.lit(source_file) if source_file is not None else F.col("source_file")).alias("source_file"),
         *REJECT_COLUMNS,
     )
 

@@ -2,14 +2,27 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark import Accumulator
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.curate import curate
-from millrace.operators.manifest import as_extracted, as_produced, detect_changes, to_publish
+from millrace.operators.manifest import (
+    as_extracted,
+    as_produced,
+    as_touched,
+    confirm_changes,
+    detect_changes,
+    to_publish,
+)
 from millrace.operators.merge import MergeCounts, merge_staged, stage_counted
 from millrace.operators.messages import encode, judge_topic
 from millrace.operators.validate import (
@@ -21,16 +34,20 @@ from millrace.operators.validate import (
 )
 from millrace.schemas import KEY, TOPIC
 from millrace.settings import Settings
-from millrace.sources.archive import extract_members, file_manifest
+from millrace.sources.archive import extract_members, file_facts, with_checksums
 from millrace.sources.landing import SEQUENCE, cap_rows, read_landing
 from millrace.sources.tables import (
     append_bronze,
     append_manifest,
     append_quarantine,
     append_topic,
+    drop_quarantine,
+    quarantine_folders,
     read_bronze,
     read_manifest,
+    read_quarantine,
     read_topic,
+    replace_batch,
     replace_quarantine,
 )
 from millrace.sources.topic import assign_positions, next_offsets
@@ -43,25 +60,36 @@ class RunCounts:
     skipped: int
 
 
+def changed_files(facts: DataFrame, known: DataFrame, opened: Accumulator | None = None) -> DataFrame:
+    """The files of ``facts`` (url, etag, content_length) that may have changed since the
+    manifest ``known``, with their checksums and whether they are new by content. No other
+    file is opened."""
+    suspects = stage(detect_changes(facts, known).where("is_new"), "suspects")
+    return confirm_changes(with_checksums(suspects, "url", opened), known)
+
+
 def extract(
-    spark: SparkSession, settings: Settings, *, glob: str = "*.zip", at: datetime | None = None
+    spark: SparkSession,
+    settings: Settings,
+    *,
+    glob: str = "*.zip",
+    at: datetime | None = None,
+    opened: Accumulator | None = None,
 ) -> RunCounts:
     """Unpack the archives whose version the manifest does not hold as published.
 
-    Each version gets a landing folder of its own and is noted as extracted once all its
-    members have landed. An archive with an unreadable member, or none at all, is set
-    aside and stays new, so the next cycle tries it again.
+    What has changed is found in two steps: by the listing, which opens no file, and by content
+    for those that the listing leaves in doubt. Each version gets a landing folder of its own
+    and is noted as extracted once all its members have landed. An archive with an unreadable
+    member, or none at all, is set aside and stays new, so the next cycle tries it again.
+    ``opened`` counts the archives hashed.
     """
     stamp = at or datetime.now(timezone.utc)
     with staging(spark):
-        facts = file_manifest(spark, settings.layer("archive"), glob).select(
-            F.col("path").alias("url"),
-            F.col("checksum_md5").alias("etag"),
-            F.col("length").alias("content_length"),
-            "checksum_md5",
-        )
-        current = stage(detect_changes(facts, read_manifest(spark, settings.layer("state"))), "archives")
+        known = read_manifest(spark, settings.layer("state"))
+        current = stage(changed_files(file_facts(spark, settings.layer("archive"), glob), known, opened), "archives")
         fresh = current.where("is_new").drop("is_new")
+        append_manifest(as_touched(current.where("not is_new"), stamp), settings.layer("state"))
         members = stage(extract_members(fresh, settings.layer("landing")), "members")
         broken = members.where("error is not null").select(F.col("archive").alias("url")).distinct()
         skipped = _quarantine(unreadable(members), settings.layer("quarantine"), "archive")
@@ -210,6 +238,132 @@ def merge_curated(
         return merge_staged(rows, counts, settings.layer("silver"), strict=strict)
 
 
+# ------------------------------------------------------------------ replay and re-drive
+
+
+class OffsetRange(NamedTuple):
+    """Offsets ``first`` to ``last`` of a topic partition, both included."""
+
+    partition: int
+    first: int
+    last: int
+
+
+def in_ranges(ranges: Iterable[OffsetRange], partition: str = "partition", offset: str = "offset") -> Column:
+    """Whether a row's position is in one of the ranges: plain comparisons, which the scan
+    checks against the statistics of files, row groups and pages."""
+    tests = [(F.col(partition) == r.partition) & F.col(offset).between(r.first, r.last) for r in ranges]
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
+
+
+def _digest(*parts: object) -> str:
+    return hashlib.md5(repr(parts).encode()).hexdigest()
+
+
+def replay(
+    spark: SparkSession,
+    settings: Settings,
+    ranges: Iterable[OffsetRange],
+    *,
+    source: str = "topic",
+    messages: DataFrame | None = None,
+    ingested_at: datetime | None = None,
+    transformed_at: datetime | None = None,
+) -> MergeCounts:
+    """Send chosen offsets through the same judge and merge once more.
+
+    From the ``topic`` (or any ``messages``) they are decoded, judged and stored in bronze, in a
+    folder that the ranges name; from ``bronze`` the stored rows are taken. Only the ranges
+    are read. Silver gets what it lacks: a replay of what it holds, whole or in part,
+    adds nothing.
+    """
+    ranges = sorted(set(map(tuple, ranges)))
+    chosen = [OffsetRange(*r) for r in ranges]
+    name = f"replay-{_digest(ranges)}"
+    stamp = ingested_at or datetime.now(timezone.utc)
+    with staging(spark):
+        if source == "bronze":
+            rows = read_bronze(spark, settings.layer("bronze")).where(in_ranges(chosen, "kafka_partition", "kafka_offset"))
+        elif source == "topic":
+            topic = messages if messages is not None else read_topic(spark, settings.layer("topic"))
+            judged = judge_topic(topic.where(in_ranges(chosen)), settings.landing_file, stamp)
+            rows, counts = stage_counted(judged, "replayed")
+            if counts["rejected"]:
+                replace_quarantine(rejected(rows), settings.layer("quarantine"), "topic", name)
+            rows = valid(rows)
+            replace_batch(rows, settings.layer("bronze"), name)
+        else:
+            raise ValueError(f"no layer to replay from: {source}")
+        return merge_curated(settings, curate(rows, transformed_at), name)
+
+
+POSITION = ["kafka_topic", "kafka_partition", "kafka_offset"]
+
+
+def open_rejects(spark: SparkSession, settings: Settings) -> DataFrame:
+    """The rejected messages that bronze still lacks, one row a position."""
+    aside = read_quarantine(spark, settings.layer("quarantine"), "topic").dropDuplicates(POSITION)
+    stored = read_bronze(spark, settings.layer("bronze")).select(*POSITION)
+    return aside.join(stored, POSITION, "left_anti")
+
+
+@dataclass(frozen=True)
+class RedriveCounts:
+    """Rejects that were open, of which so many were sent again and stored."""
+
+    opened: int
+    stored: int
+
+    @property
+    def left(self) -> int:
+        return self.opened - self.stored
+
+
+def redrive(
+    spark: SparkSession,
+    settings: Settings,
+    mend: Callable[[DataFrame], DataFrame] | None = None,
+    *,
+    ingested_at: datetime | None = None,
+    transformed_at: datetime | None = None,
+) -> RedriveCounts:
+    """Judge the rejected messages again, at their own positions, and store those that pass.
+
+    ``mend`` takes messages (topic, partition, offset, timestamp, value, source_file) and
+    returns those to be tried, with their values put right; without it the rules themselves
+    have changed. Rows leave quarantine once they are stored, others stay. Rows go to a bronze
+    folder that their positions name, and a merge only inserts, so a re-drive that is
+    repeated, or begun again after a crash at any step, stores nothing twice.
+    """
+    stamp = ingested_at or datetime.now(timezone.utc)
+    with staging(spark):
+        folders = quarantine_folders(spark, settings.layer("quarantine"), "topic")
+        aside = stage(open_rejects(spark, settings), "open-rejects")
+        messages = aside.select(
+            F.col("kafka_topic").alias("topic"),
+            F.col("kafka_partition").alias("partition"),
+            F.col("kafka_offset").alias("offset"),
+            F.timestamp_millis("kafka_timestamp_ms").alias("timestamp"),
+            F.col("reject_value").alias("value"),
+            "source_file",
+        )
+        judged = judge_topic(mend(messages) if mend else messages, None, stamp)
+        passed = stage(valid(judged).dropDuplicates(POSITION), "passed")
+        stored = passed.count()
+        if stored:
+            hashes = F.sum(F.xxhash64(*POSITION).cast("decimal(38,0)"))
+            name = f"redrive-{_digest(stored, passed.agg(hashes).first()[0])}"
+            replace_batch(passed, settings.layer("bronze"), name)
+            merge_curated(settings, curate(passed, transformed_at), name)
+        opened = aside.count()
+        left = aside.join(passed.select(*POSITION), POSITION, "left_anti")
+        if opened > stored:
+            replace_quarantine(left.drop("entry"), settings.layer("quarantine"), "topic", f"left-{uuid.uuid4().hex}")
+        # The rest stands in its new folder: what was listed before may go.
+        drop_quarantine(spark, folders)
+    return RedriveCounts(opened, stored)
+
+
 def note_extracted(
     spark: SparkSession, settings: Settings, files: DataFrame, at: datetime
 ) -> None:

@@ -259,6 +259,47 @@ _ORACLES = {
       GROUP BY order_year, order_month""",
     "merge_replay": f"{_BASE} {_KEYS}",
     "merge_three_runs": f"{_BASE} {_KEYS}",
+    "merge_scattered": f"{_BASE} {_KEYS}",
+    "missing_ranges": f"""{_BASE},
+      lost AS (SELECT part_no, pos FROM topic
+               WHERE pos % 17 = 4 OR pos % 300 BETWEEN 10 AND 25 OR pos % 2000 < 1000),
+      island AS (SELECT *, pos - row_number() OVER (PARTITION BY part_no ORDER BY pos) AS k FROM lost)
+      SELECT 'sales-events' AS topic, part_no AS partition, MIN(pos) AS first_missing, MAX(pos) AS last_missing
+      FROM island GROUP BY part_no, k""",
+    "range_completeness": f"""{_BASE},
+      held AS (SELECT part_no, pos FROM topic
+               WHERE pos % 17 <> 4 AND NOT pos % 300 BETWEEN 10 AND 25 AND pos % 2000 >= 1000),
+      layers AS (
+        SELECT 'topic' AS layer, part_no, pos FROM topic
+        UNION ALL SELECT 'bronze', part_no, pos FROM held
+        UNION ALL SELECT 'bronze', part_no, pos FROM held WHERE pos % 3 = 0
+        UNION ALL SELECT 'silver', part_no, pos FROM topic)
+      SELECT layer, 'sales-events' AS topic, part_no AS partition, COUNT(*) AS row_count,
+             COUNT(DISTINCT pos) AS offsets, COUNT(*) - COUNT(DISTINCT pos) AS copies, MIN(pos) AS first,
+             MAX(pos) AS last, MAX(pos) - MIN(pos) + 1 = COUNT(DISTINCT pos) AS complete
+      FROM layers GROUP BY layer, part_no""",
+    "replay_ranges": f"""{_BASE},
+      asked(run, part_no, low, high, from_bronze) AS (
+        VALUES (1, 0, 0, 99, false), (2, 0, 50, 149, false), (2, 1, 0, 9, false), (3, 0, 0, 149, true),
+               (3, 2, 5, 20, true), (4, 0, 0, 99, false), (5, 0, 0, 149, false), (5, 1, 0, 9, false)),
+      sent AS (SELECT run, part_no, pos, from_bronze FROM asked JOIN topic USING (part_no) WHERE pos BETWEEN low AND high),
+      copies AS (
+        SELECT run, part_no, pos,
+               CASE WHEN NOT from_bronze THEN 1
+                    ELSE (SELECT COUNT(*) FROM sent e WHERE e.run < s.run AND e.part_no = s.part_no AND e.pos = s.pos)
+                         + CASE WHEN pos % 3 <> 0 THEN 1 ELSE 0 END END AS n,
+               pos % 3 = 0 AND NOT from_bronze
+               AND NOT EXISTS (SELECT 1 FROM sent e WHERE e.run < s.run AND e.part_no = s.part_no AND e.pos = s.pos) AS new
+        FROM sent s)
+      SELECT CAST(run AS INTEGER) AS run, CAST(SUM(n) AS BIGINT) AS received, COUNT(*) FILTER (WHERE new) AS written
+      FROM copies GROUP BY run""",
+    "redrive_rejects": f"""{_BASE}, {_POISON},
+      n AS (SELECT COUNT(*) AS total, COUNT(reject_class) AS bad,
+                   COUNT(reject_class) FILTER (WHERE pos % 2 = 0) AS even FROM poison)
+      SELECT CAST(1 AS INTEGER) AS run, bad AS opened, even AS stored, total - bad + even AS bronze,
+             total - bad + even AS silver, bad - even AS quarantine FROM n
+      UNION ALL SELECT 2, bad - even, 0, total - bad + even, total - bad + even, bad - even FROM n
+      UNION ALL SELECT 3, bad - even, bad - even, total, total, 0 FROM n""",
     "merge_incremental": f"{_BASE} SELECT {_SILVER} FROM silver WHERE pos % 4 = 3",
     "strict_merge": f"""{_BASE}
       SELECT COUNT(*) AS stored, COUNT(*) AS clashes, MIN(source_kafka_offset) AS sample
@@ -354,6 +395,9 @@ _ORACLES = {
              CAST(SUM(octet_length(encode(html)) + 1) AS BIGINT) AS length,
              md5(string_agg(html || chr(10), '' ORDER BY page_id)) AS checksum_md5
       FROM pages GROUP BY page_id // 100""",
+    "changed_files": """
+      SELECT page_id // 10 AS file_no, (page_id // 10) % 4 <> 3 AS opened, (page_id // 10) % 4 IN (0, 1) AS is_new
+      FROM pages GROUP BY page_id // 10""",
     "archive_records": f"{_BASE} SELECT {_SALES} FROM sales",
     "stream_to_silver": f"{_BASE} SELECT {_SILVER} FROM silver",
     "stream_replay": f"""{_BASE}

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.errors import StreamingQueryException
 
 from millrace.functions.coerce import parse_date, to_double, to_integer
-from millrace.operators import audit, manifest, merge
+from millrace.operators import audit, gaps, manifest, merge
 from millrace.operators.curate import curate, overflowed, to_silver
 from millrace.operators.merge import merge_into
 from millrace.operators.messages import encode, judge_messages, judge_nested, judge_topic
@@ -38,7 +38,7 @@ from millrace.operators.validate import (
 )
 from millrace.errors import DuplicateKeyError
 from millrace.plans import jobs, reports
-from millrace.schemas import HEADERS, KEY, SALES_COLUMNS, SILVER, TOPIC
+from millrace.schemas import HEADERS, KEY, MANIFEST, SALES_COLUMNS, SILVER, TOPIC
 from millrace.settings import DEFAULT_TOPIC, DEFAULT_TOPIC_PARTITIONS, Settings
 from millrace.sources import archive, landing, star, tables
 from millrace.sources.archive import open_filesystem
@@ -498,6 +498,19 @@ def merge_incremental(spark, sf_dir):
     return plain(merge.inserts(batch, stored).select(*SILVER.fieldNames()))
 
 
+def merge_scattered(spark, sf_dir):
+    """A late batch of keys scattered over all offsets, some of them stored, looked up one by one
+    where they are few; then one of stretches far from each other."""
+    path = fresh_path(spark, "merge")
+    batch = stage(curated(spark, sf_dir), "batch")
+    offset = _offset_of(KEY)
+    scattered, stretch = offset % 997 == 0, (offset % 640).between(100, 120)
+    merge_into(batch.where(~scattered & ~stretch), path)
+    merge_into(batch.where(offset % 997 <= 1), path)
+    merge_into(batch.where((offset % 640).between(90, 130)), path)
+    return plain(_merged(spark, path))
+
+
 def strict_merge(spark, sf_dir):
     """A strict merge into a new table, then one of which every fifth key is stored."""
     path = fresh_path(spark, "merge")
@@ -568,6 +581,74 @@ def completeness(spark, sf_dir):
     )
 
 
+def _thinned(positions: DataFrame) -> DataFrame:
+    """Positions without some single offsets, a stretch now and then and each second thousand."""
+    offset = F.col("offset")
+    return positions.where((offset % 17 != 4) & ~(offset % 300).between(10, 25) & (offset % 2_000 >= 1_000))
+
+
+def missing_ranges(spark, sf_dir):
+    """The stretches of offsets that bronze lacks, as against the topic's first and last ones."""
+    held = _thinned(gaps.bronze_positions(bronze(spark, sf_dir)))
+    sent = gaps.message_positions(topic(spark, sf_dir))
+    return gaps.missing_ranges(held.unionAll(held.where("offset % 3 = 0")), gaps.bounds_of(sent))
+
+
+def range_completeness(spark, sf_dir):
+    """All layers by ranges: topic and silver whole, bronze thinned and with copies."""
+    held = _thinned(gaps.bronze_positions(bronze(spark, sf_dir)))
+    return gaps.range_report(
+        topic=gaps.message_positions(topic(spark, sf_dir)),
+        bronze=held.unionAll(held.where("offset % 3 = 0")),
+        silver=gaps.silver_positions(silver(spark, sf_dir)),
+    )
+
+
+def replay_ranges(spark, sf_dir):
+    """Silver lacks every third offset. Overlapping ranges are replayed from the topic, one from
+    bronze, and all of them again."""
+    settings = _settings(spark, "replay")
+    messages = topic(spark, sf_dir)
+    tables.append_topic(messages, settings.layer("topic"))
+    jobs.load_bronze(spark, settings, messages.where("offset % 3 <> 0"), ingested_at=INGESTED_AT)
+    jobs.load_silver(spark, settings, transformed_at=TRANSFORMED_AT)
+    wanted = [
+        ("topic", [(0, 0, 99)]), ("topic", [(0, 50, 149), (1, 0, 9)]), ("bronze", [(0, 0, 149), (2, 5, 20)]),
+        ("topic", [(0, 0, 99)]), ("topic", [(0, 0, 149), (1, 0, 9)]),
+    ]
+    runs = [
+        jobs.replay(spark, settings, [jobs.OffsetRange(*r) for r in ranges], source=source, ingested_at=INGESTED_AT, transformed_at=TRANSFORMED_AT)
+        for source, ranges in wanted
+    ]
+    return spark.createDataFrame(
+        [(k + 1, c.received, c.written) for k, c in enumerate(runs)], "run int, received bigint, written bigint"
+    )
+
+
+def redrive_rejects(spark, sf_dir):
+    """Poisoned messages of even offsets are mended and driven again, twice; then the rest."""
+    settings = _settings(spark, "redrive")
+    clean = topic(spark, sf_dir)
+    jobs.load_bronze(spark, settings, _poisoned(spark, sf_dir), ingested_at=INGESTED_AT)
+    jobs.load_silver(spark, settings, transformed_at=TRANSFORMED_AT)
+    good = clean.select("topic", "partition", "offset", "value")
+
+    def mended(which: Column) -> Callable[[DataFrame], DataFrame]:
+        return lambda messages: messages.drop("value").where(which).join(good, ["topic", "partition", "offset"])
+
+    runs = []
+    for which in (F.col("offset") % 2 == 0, F.col("offset") % 2 == 0, F.lit(True)):
+        counts = jobs.redrive(spark, settings, mended(which), ingested_at=INGESTED_AT, transformed_at=TRANSFORMED_AT)
+        layers = audit.layer_counts(
+            bronze=tables.read_bronze(spark, settings.layer("bronze")),
+            silver=tables.read_silver(spark, settings.layer("silver")),
+            quarantine=tables.read_quarantine(spark, settings.layer("quarantine"), "topic"),
+        )
+        numbers = {r.layer: r.row_count for r in layers.collect()}
+        runs.append((len(runs) + 1, counts.opened, counts.stored, numbers["bronze"], numbers["silver"], numbers["quarantine"]))
+    return spark.createDataFrame(runs, "run int, opened bigint, stored bigint, bronze bigint, silver bigint, quarantine bigint")
+
+
 def layer_counts(spark, sf_dir):
     return audit.layer_counts(
         landing=raw_rows(spark, sf_dir),
@@ -688,6 +769,49 @@ def file_manifest(spark, sf_dir):
     )
 
 
+_PAGES_PER_CHECK = 10
+
+
+def _page_files(directory: str) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    def write(pages: pd.DataFrame) -> pd.DataFrame:
+        filesystem, inner = open_filesystem(directory)
+        number = int(pages["file_no"].iloc[0])
+        with filesystem.open_output_stream(f"{inner}/{number}.txt") as out:
+            out.write("\n".join(pages.sort_values("page_id")["html"]).encode())
+        return pd.DataFrame({"file_no": [number]})
+
+    return write
+
+
+def changed_files(spark, sf_dir):
+    """Files of ten pages each, checked against a manifest after some are new, some have other
+    content of the same length and some are written again as they were. Untouched ones are
+    not opened."""
+    path = fresh_path(spark, "pages")
+    filesystem, inner = open_filesystem(path)
+    filesystem.create_dir(inner)
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select(
+        F.expr(f"page_id div {_PAGES_PER_CHECK}").alias("file_no"), "page_id", "html"
+    )
+
+    def put(rows: DataFrame) -> None:
+        stage(rows.groupBy("file_no").applyInPandas(_page_files(path), "file_no bigint"), "page-files")
+
+    kind = F.col("file_no") % 4
+    put(pages.where(kind != 0))
+    nothing = spark.createDataFrame([], MANIFEST)
+    first = jobs.changed_files(archive.file_facts(spark, path, "*.txt"), nothing)
+    known = stage(manifest.as_touched(first, INGESTED_AT), "manifest")
+    put(pages.where(kind != 3).withColumn("html", F.when(kind == 1, F.translate("html", "<>", "><")).otherwise(F.col("html"))))
+    facts = stage(archive.file_facts(spark, path, "*.txt"), "facts")
+    found = stage(jobs.changed_files(facts, known), "changed").select("url", F.lit(True).alias("opened"), "is_new")
+    return facts.join(found, "url", "left").select(
+        F.regexp_extract("url", "([0-9]+)[.]txt$", 1).cast("bigint").alias("file_no"),
+        F.coalesce("opened", F.lit(False)).alias("opened"),
+        F.coalesce("is_new", F.lit(False)).alias("is_new"),
+    )
+
+
 _MEMBER_ROWS = 2000
 
 
@@ -950,6 +1074,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         merge_replay,
         merge_three_runs,
         merge_incremental,
+        merge_scattered,
         merge_counters,
         strict_merge,
         merge_first_copy,
@@ -958,6 +1083,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         distinct_keys,
         missing_in_silver,
         completeness,
+        missing_ranges,
+        range_completeness,
+        replay_ranges,
+        redrive_rejects,
         layer_counts,
         revenue_by_country,
         revenue_by_country_prev_month,
@@ -966,6 +1095,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         manifest_changes,
         manifest_states,
         file_manifest,
+        changed_files,
         archive_records,
         archive_rejects,
         ingest_cycle_twice,

@@ -87,6 +87,11 @@ SILVER = T.StructType(
 
 REJECT_COLUMNS = ["reject_class", "reject_field", "reject_value", "reject_reason"]
 
+# Rejected messages: where they stood, the whole message and why it was set aside.
+TOPIC_REJECTS = T.StructType(
+    [*_TRANSPORT, *[T.StructField(name, T.StringType()) for name in REJECT_COLUMNS], T.StructField("entry", T.StringType())]
+)
+
 MANIFEST = T.StructType(
     [
         T.StructField("url", T.StringType()),

@@ -17,10 +17,22 @@ from millrace.schemas import (
     SILVER,
     SILVER_PARTITIONS,
     TOPIC,
+    TOPIC_REJECTS,
 )
 
 COMPRESSION = "zstd"
 
+# Silver's files carry a Bloom filter of their keys per row group: a reader after few keys,
+# however scattered, skips the groups that hold none of them. Sized by what a group holds,
+# at one false hit in 10,000 keys asked for.
+KEY_FILTER = {
+    f"parquet.bloom.filter.enabled#{KEY}": "true",
+    f"parquet.bloom.filter.fpp#{KEY}": "0.0001",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+    f"parquet.bloom.filter.candidates.number#{KEY}": "15",
+    "parquet.bloom.filter.max.bytes": str(8 << 20),
+}
+
 
 def exists(spark: SparkSession, path: str) -> bool:
     context = spark.sparkContext
@@ -103,8 +115,8 @@ def append_silver(
 
     Rows are first brought together by month, or every task would open a file for
     every month. A rebalance lets the engine split a large month over several tasks
-    and join small ones. Files are sorted by key, so that a reader after some keys can
-    skip the rest.
+    and join small ones. Files are sorted by key and carry filters of their keys, so that a
+    reader after some keys can skip the rest.
     """
     rows = silver.hint("rebalance", *[F.col(c) for c in SILVER_PARTITIONS])
     if observe:
@@ -112,7 +124,7 @@ def append_silver(
     (
         rows.sortWithinPartitions(*SILVER_PARTITIONS, KEY)
         .write.mode("append")
-        .option("compression", COMPRESSION)
+        .options(compression=COMPRESSION, **KEY_FILTER)
         .partitionBy(*SILVER_PARTITIONS)
         .parquet(path)
     )
@@ -138,6 +150,29 @@ def replace_quarantine(rejects: DataFrame, path: str, entry: str, name: str) ->
     ).parquet(f"{path}/{entry}/{name}")
 
 
+def read_quarantine(spark: SparkSession, path: str, entry: str) -> DataFrame:
+    """The rejects of one entry point, of all its runs."""
+    reader = spark.read.schema(TOPIC_REJECTS).option("recursiveFileLookup", True)
+    return _or_empty(spark, f"{path}/{entry}", TOPIC_REJECTS, reader.parquet)
+
+
+def quarantine_folders(spark: SparkSession, path: str, entry: str) -> list[str]:
+    """The folders of an entry point's runs. A name per run and no more comes to the driver."""
+    context = spark.sparkContext
+    location = context._jvm.org.apache.hadoop.fs.Path(f"{path}/{entry}")
+    files = location.getFileSystem(context._jsc.hadoopConfiguration())
+    if not files.exists(location):
+        return []
+    return [x.getPath().toString() for x in files.listStatus(location) if x.isDirectory()]
+
+
+def drop_quarantine(spark: SparkSession, folders: list[str]) -> None:
+    context = spark.sparkContext
+    for folder in folders:
+        location = context._jvm.org.apache.hadoop.fs.Path(folder)
+        location.getFileSystem(context._jsc.hadoopConfiguration()).delete(location, True)
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Every file version ever noted; ``manifest.latest`` gives the current ones."""
     return _or_empty(spark, path, MANIFEST, spark.read.schema(MANIFEST).parquet)
