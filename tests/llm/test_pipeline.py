@@ -29,7 +29,7 @@ def corpus():
 
 def test_stages(spark, documents):
     rows, passage = corpus()
-    docs = documents(rows)
+    docs = documents(rows).selectExpr("*", "'x' as document", "'x' as copies", "'x' as copy", "'x' as _copies", "'x' as `a.b`")
     steps = dict(corpus_pipeline.STAGES)
     kept = steps["language"](spark, docs, "").cache()
     assert kept.columns == docs.columns
@@ -53,6 +53,13 @@ def test_stages(spark, documents):
         frame.unpersist()
 
 
+def test_one_row_of_an_id_stays(spark, documents):
+    rows = [(1, "b text of its own", "en", "s"), (1, "a text of its own", "en", "s"), (1, None, "en", "s"), (2, "words", "fr", "t"), (2, "words", "en", "t")]
+    for docs in (documents(rows), documents(rows[::-1])):
+        kept = sorted(tuple(r) for r in corpus_pipeline.near_dedup(spark, docs, "").select("doc_id", "text", "lang").collect())
+        assert kept == [(1, None, "en"), (2, "words", "en")]
+
+
 def test_empty_and_unlabelled_tables(spark, documents):
     empty = documents([])
     for name, step in corpus_pipeline.STAGES:
