@@ -37,6 +37,7 @@ from millrace.settings import Settings
 from millrace.sources.archive import extract_members, file_facts, with_checksums
 from millrace.sources.landing import SEQUENCE, cap_rows, read_landing
 from millrace.sources.tables import (
+    add_months,
     append_bronze,
     append_manifest,
     append_quarantine,
@@ -217,25 +218,29 @@ def load_silver(
     *,
     strict: bool = False,
     transformed_at: datetime | None = None,
+    table: str | None = None,
 ) -> MergeCounts:
-    """All of bronze, curated and merged into silver."""
+    """All of bronze, curated and merged into silver; ``table`` names it in the catalog."""
     if bronze is None:
         bronze = read_bronze(spark, settings.layer("bronze"))
-    return merge_curated(settings, curate(bronze, transformed_at), "rescan", strict=strict)
+    return merge_curated(settings, curate(bronze, transformed_at), "rescan", strict=strict, table=table)
 
 
 def merge_curated(
-    settings: Settings, curated: DataFrame, name: str, *, strict: bool = False
+    settings: Settings, curated: DataFrame, name: str, *, strict: bool = False, table: str | None = None
 ) -> MergeCounts:
     """Merge what fits silver, after setting aside what does not. Rows received are those
     written, those held already, and those rejected. The rejects of ``name`` replace those
-    of an earlier run of the same name."""
+    of an earlier run of the same name. The catalog's ``table`` is told of the months it has."""
     with staging(curated.sparkSession):
         rows, counts = stage_counted(curated, "curated")
         if counts["rejected"]:
             bad = rows.where("reject_class is not null").select(KEY, "order_id", "reject_class", "source_file")
             replace_quarantine(bad, settings.layer("quarantine"), "silver", name)
-        return merge_staged(rows, counts, settings.layer("silver"), strict=strict)
+        merged = merge_staged(rows, counts, settings.layer("silver"), strict=strict)
+        if table:
+            add_months(rows.sparkSession, table, rows.where("reject_class is null"))
+        return merged
 
 
 # ------------------------------------------------------------------ replay and re-drive

@@ -373,6 +373,19 @@ _ORACLES = {
     "revenue_by_country_reference_mode": _revenue(1998, 5).replace(
         "SELECT country,\n", "SELECT country, '1998-06-15' AS as_of,\n", 1
     ),
+    "revenue_from_sums": _revenue(1998, 5),
+    "revenue_by_month": f"""{_BASE}
+      SELECT order_year, order_month, country,
+             CAST(SUM(CAST(rev / 100.0 AS DECIMAL(18,4))) AS VARCHAR) AS total_revenue,
+             CAST(SUM(CAST(profit / 100.0 AS DECIMAL(18,4))) AS VARCHAR) AS total_profit,
+             CAST(CAST(sign(SUM(margin)) * ((2 * abs(SUM(margin)) + COUNT(*)) // (2 * COUNT(*)))
+                  / 100.0 AS DECIMAL(18,2)) AS VARCHAR) AS avg_margin_pct,
+             CAST(SUM(units_sold) AS BIGINT) AS total_units
+      FROM silver GROUP BY order_year, order_month, country""",
+    "catalog_months": f"""{_BASE}
+      SELECT order_year, order_month, country, COUNT(*) AS row_count,
+             CAST(SUM(units_sold) AS BIGINT) AS total_units
+      FROM silver GROUP BY order_year, order_month, country""",
     "adhoc_sql": f"""{_BASE}
       SELECT country, order_year,
              CAST(SUM(CAST(rev / 100.0 AS DECIMAL(18,4))) AS VARCHAR) AS total_revenue,
@@ -410,6 +423,11 @@ _ORACLES = {
     "stream_poison": f"""{_BASE}, {_POISON}
       SELECT COALESCE(reject_class, 'SILVER') AS outcome, COUNT(*) AS row_count
       FROM poison GROUP BY 1""",
+    "stream_run_log": f"""{_BASE}, {_POISON}
+      SELECT 'bronze' AS entry, COUNT(*) AS received, COUNT(*) - COUNT(reject_class) AS written,
+             CAST(0 AS BIGINT) AS skipped, COUNT(reject_class) AS rejected FROM poison
+      UNION ALL
+      SELECT 'silver', COUNT(*), COUNT(*), 0, 0 FROM poison WHERE reject_class IS NULL""",
     "ingest_end_to_end": f"{_BASE} SELECT {_SILVER_BODY} FROM silver",
 }
 

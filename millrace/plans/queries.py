@@ -37,7 +37,7 @@ from millrace.operators.validate import (
     valid,
 )
 from millrace.errors import DuplicateKeyError
-from millrace.plans import jobs, reports
+from millrace.plans import jobs, reports, rollup
 from millrace.schemas import HEADERS, KEY, MANIFEST, SALES_COLUMNS, SILVER, TOPIC
 from millrace.settings import DEFAULT_TOPIC, DEFAULT_TOPIC_PARTITIONS, Settings
 from millrace.sources import archive, landing, star, tables
@@ -677,6 +677,41 @@ def revenue_by_country_reference_mode(spark, sf_dir):
     return plain(asked[0].unionAll(asked[1]))
 
 
+def _summed_silver(spark: SparkSession, sf_dir: str) -> Settings:
+    """Silver in four merges: two that are summed, a full replay, and late rows of all months,
+    of which the sums know nothing."""
+    settings = _settings(spark, "sums")
+    rows = curated(spark, sf_dir)
+    part = _offset_of(KEY) % 4
+    for batch in (rows.where(part == 0), rows.where(part.isin(1, 2)), rows.where(part != 3)):
+        merge_into(batch, settings.layer("silver"))
+        rollup.refresh(spark, settings)
+    merge_into(rows, settings.layer("silver"))
+    return settings
+
+
+def revenue_from_sums(spark, sf_dir):
+    return plain(rollup.revenue_by_country(spark, _summed_silver(spark, sf_dir), AS_OF))
+
+
+def revenue_by_month(spark, sf_dir):
+    return plain(rollup.revenue_by_month(spark, _summed_silver(spark, sf_dir)))
+
+
+def catalog_months(spark, sf_dir):
+    """Two loads into a catalog table, told each time of the load's months alone."""
+    settings = _settings(spark, "catalog")
+    name = f"silver_{uuid.uuid4().hex}"
+    tables.create_silver_table(spark, name, settings.layer("silver"))
+    rows = bronze(spark, sf_dir)
+    early = F.month("order_date") % 2 == 0
+    for batch in (rows.where(early), rows.where(~early | (F.col("kafka_offset") % 2 == 0))):
+        jobs.load_silver(spark, settings, batch, transformed_at=TRANSFORMED_AT, table=name)
+    return spark.table(name).groupBy("order_year", "order_month", "country").agg(
+        F.count("*").alias("row_count"), F.sum("units_sold").alias("total_units")
+    )
+
+
 def adhoc_sql(spark, sf_dir):
     """Plain SQL on the named layers."""
     tables.register_views(spark, bronze_path(spark, sf_dir), silver_path(spark, sf_dir))
@@ -1029,6 +1064,25 @@ def stream_poison(spark, sf_dir):
     return aside.unionAll(kept.select(F.lit("SILVER").alias("outcome"), "row_count"))
 
 
+def stream_run_log(spark, sf_dir):
+    """The run log of both streams over poisoned messages, summed, after each stream's last batch
+    ran once more."""
+    settings = _settings(spark, "stream")
+    messages = fresh_path(spark, "poisoned")
+    tables.append_topic(_poisoned(spark, sf_dir), messages)
+    checkpoints = [fresh_path(spark, f"checkpoint-{layer}") for layer in ("bronze", "silver")]
+    for _ in range(2):
+        source = ingest.topic_stream(spark, messages, max_files=3)
+        _drain(ingest.start_bronze(spark, settings, checkpoints[0], source, ingested_at=INGESTED_AT, log_runs=True))
+        _drain(ingest.start_silver(spark, settings, checkpoints[1], transformed_at=TRANSFORMED_AT, log_runs=True))
+        for checkpoint in checkpoints:
+            files, commits = _hadoop(spark, f"{checkpoint}/commits")
+            numbers = [x.getPath() for x in files.listStatus(commits) if x.getPath().getName().isdigit()]
+            files.delete(max(numbers, key=lambda x: int(x.getName())), False)
+    counted = [F.sum(c).alias(c) for c in ("received", "written", "skipped", "rejected")]
+    return tables.read_runs(spark, settings.layer("runs")).groupBy("entry").agg(*counted)
+
+
 def ingest_end_to_end(spark, sf_dir):
     """The batch jobs one after the other, from CSV files to silver."""
     settings = _settings(spark, "jobs")
@@ -1091,6 +1145,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         revenue_by_country,
         revenue_by_country_prev_month,
         revenue_by_country_reference_mode,
+        revenue_from_sums,
+        revenue_by_month,
+        catalog_months,
         adhoc_sql,
         manifest_changes,
         manifest_states,
@@ -1106,6 +1163,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_old_file,
         stream_repeated_batch,
         strict_stream,
+        stream_run_log,
         ingest_end_to_end,
     )
 }

@@ -102,3 +102,9 @@ MANIFEST = T.StructType(
         T.StructField("status", T.StringType()),
     ]
 )
+
+# One row per micro-batch: received = written + skipped + rejected.
+RUNS = T.StructType(
+    [T.StructField("entry", T.StringType()), T.StructField("batch", T.StringType()), T.StructField("started_at", T.TimestampType())]
+    + [T.StructField(name, T.LongType()) for name in ("received", "written", "skipped", "rejected")]
+)

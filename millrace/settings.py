@@ -9,7 +9,7 @@ DEFAULT_TOPIC = "sales-events"
 DEFAULT_TOPIC_PARTITIONS = 3
 DEFAULT_SOURCE_FILENAME = "2m Sales Records.csv"
 
-LAYERS = ("landing", "archive", "topic", "bronze", "silver", "quarantine", "state")
+LAYERS = ("landing", "archive", "topic", "bronze", "silver", "sums", "runs", "quarantine", "state")
 
 
 @dataclass(frozen=True)

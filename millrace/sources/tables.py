@@ -14,6 +14,7 @@ from millrace.schemas import (
     BRONZE_NESTED,
     KEY,
     MANIFEST,
+    RUNS,
     SILVER,
     SILVER_PARTITIONS,
     TOPIC,
@@ -173,6 +174,21 @@ def drop_quarantine(spark: SparkSession, folders: list[str]) -> None:
         location.getFileSystem(context._jsc.hadoopConfiguration()).delete(location, True)
 
 
+def note_run(spark: SparkSession, path: str, entry: str, batch: str, counts: dict[str, object]) -> None:
+    """Log a micro-batch in the folder its name decides. One that is logged stays as it is: a
+    batch repeated after its commit was lost would say that all its rows were skipped."""
+    if exists(spark, f"{path}/{entry}/{batch}/_SUCCESS"):
+        return
+    row = {"entry": entry, "batch": batch, **counts}
+    one = spark.createDataFrame([[row[c] for c in RUNS.fieldNames()]], RUNS)
+    one.coalesce(1).write.mode("overwrite").parquet(f"{path}/{entry}/{batch}")
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The run log, a row per entry and micro-batch."""
+    return _or_empty(spark, path, RUNS, spark.read.schema(RUNS).option("recursiveFileLookup", True).parquet)
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Every file version ever noted; ``manifest.latest`` gives the current ones."""
     return _or_empty(spark, path, MANIFEST, spark.read.schema(MANIFEST).parquet)
@@ -194,7 +210,8 @@ def create_bronze_table(spark: SparkSession, name: str, path: str) -> None:
 
 
 def create_silver_table(spark: SparkSession, name: str, path: str) -> None:
-    """Partitions that jobs append by path show up after ``refresh_silver_table``."""
+    """Partitions that jobs append by path show up after ``add_months``, or, whatever they are,
+    ``refresh_silver_table``."""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({_columns(SILVER)}) "
         f"USING parquet OPTIONS (compression '{COMPRESSION}') "
@@ -206,6 +223,22 @@ def refresh_silver_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
+def add_months(spark: SparkSession, name: str, batch: DataFrame) -> int:
+    """Tell the catalog of the months that ``batch`` has rows of, and how large they are now;
+    returns their number. No other month is listed, as ``refresh_silver_table`` does with all.
+
+    The months come to the driver; their number is bounded by the calendar.
+    """
+    months = sorted(map(tuple, batch.select(*SILVER_PARTITIONS).distinct().collect()))
+    specs = ["PARTITION (" + ", ".join(f"{c} = {v}" for c, v in zip(SILVER_PARTITIONS, m, strict=True)) + ")" for m in months]
+    if specs:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(specs)}")
+    for spec in specs:
+        spark.sql(f"ANALYZE TABLE {name} {spec} COMPUTE STATISTICS NOSCAN")
+    spark.catalog.refreshTable(name)
+    return len(specs)
+
+
 def register_views(spark: SparkSession, bronze_path: str, silver_path: str) -> None:
     """Name both layers for ad-hoc SQL."""
     read_bronze(spark, bronze_path).createOrReplaceTempView("sales_bronze")
