@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,14 @@ def tune(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Have executors delete the shuffle files of frames that nothing refers to any more.
+    Spark does so when the driver collects its garbage, which between the rounds of one
+    operator it may not do for long."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def whole(text: str | Column) -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
