@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import letters, raw, renamed, slices, tune, whole
 
-#: Buckets that byte trigrams are hashed to, and the kinds of buckets told apart: buckets
-#: whose likelihoods under all languages are about the same count as one kind.
-BUCKETS, KINDS = 1 << 16, 256
-#: Steps of a text's expectation-maximisation.
-STEPS = 12
+#: Buckets that byte trigrams are hashed to, and the kinds of buckets told apart, for each
+#: language and at least: buckets whose likelihoods under all languages are about the same count
+#: as one kind.
+BUCKETS, KINDS, LEAST_KINDS = 1 << 16, 64, 256
+#: Expectation-maximisation ends for a text when a step adds less to its log-likelihood.
+RISE = 1e-3
 #: A byte is in three trigrams: that much of their likelihoods' sum is evidence.
 OVERLAP = 3
 SMOOTHING = 0.5
@@ -103,7 +104,7 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Mode
     )
     languages = sorted(set(counts.column("lang").to_pylist()))
     if not languages:
-        return Model([], np.zeros(BUCKETS, np.uint8), np.ones((1, 0)))
+        return Model([], np.zeros(BUCKETS, np.int32), np.ones((1, 0)))
     place = {x: k for k, x in enumerate(languages)}
     table = np.zeros((BUCKETS, len(languages)))
     table[counts.column("bucket").to_numpy(), [place[x] for x in counts.column("lang").to_pylist()]] = counts.column("n")
@@ -112,34 +113,43 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Mode
     weight = table.sum(1)
     seen = np.flatnonzero(weight)
     vectors = (logs - logs.mean(1, keepdims=True))[seen]
+    kinds = max(LEAST_KINDS, KINDS * len(languages))
     kind = np.zeros(BUCKETS, np.int64)
-    kind[seen] = 1 + _kinds(vectors, weight[seen], KINDS - 1)
-    total = np.bincount(kind[seen], weight[seen], KINDS)
+    kind[seen] = 1 + _kinds(vectors, weight[seen], kinds - 1)
+    total = np.bincount(kind[seen], weight[seen], kinds)
     means = np.stack(
         [
-            np.bincount(kind[seen], weight[seen] * vectors[:, k], KINDS) / np.maximum(total, 1e-9)
+            np.bincount(kind[seen], weight[seen] * vectors[:, k], kinds) / np.maximum(total, 1e-9)
             for k in range(len(languages))
         ],
         1,
     )
-    return Model(languages, kind.astype(np.uint8), np.exp(means - means.max(1, keepdims=True)))
+    return Model(languages, kind.astype(np.int32), np.exp(means - means.max(1, keepdims=True)))
 
 
 def _mix(counts: np.ndarray, likelihood: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each row's proportions among its allowed languages and their log-likelihood."""
+    """Each row's proportions among its allowed languages and their log-likelihood, which no
+    step lowers and which is bounded: every row's steps come to an end."""
     share = allowed / allowed.sum(1, keepdims=True)
-    n = np.maximum(counts.sum(1, keepdims=True), 1)
-    for _ in range(STEPS):
-        share = share * ((counts / np.maximum(share @ likelihood.T, 1e-300)) @ likelihood) / n
-        share = np.where(allowed, share, 0)
-        share /= np.maximum(share.sum(1, keepdims=True), 1e-300)
-    return share, (counts * np.log(np.maximum(share @ likelihood.T, 1e-300))).sum(1)
+    reached = np.full(len(counts), -np.inf)
+    going = np.arange(len(counts))
+    while len(going):
+        own, part = counts[going], share[going]
+        mean = np.maximum(part @ likelihood.T, 1e-300)
+        fit_ = (own * np.log(mean)).sum(1)
+        rises = fit_ - reached[going] >= RISE
+        reached[going] = fit_
+        going, own, part, mean = going[rises], own[rises], part[rises], mean[rises]
+        part = part * ((own / mean) @ likelihood)
+        share[going] = part / np.maximum(part.sum(1, keepdims=True), 1e-300)
+    return share, reached
 
 
 def infer(model: Model, counts: np.ndarray) -> np.ndarray:
     """The proportions of each row's languages (0 for those not selected). From the likeliest
     one alone, the language of the greatest gain in likelihood is added until none gains half
-    the logarithm of the evidence."""
+    the logarithm of the evidence; then those that lose less than that are left out again, the
+    least loss first, as long as three or more are left."""
     n_rows, n_langs = len(counts), len(model.languages)
     alone = counts @ np.log(model.likelihood)
     allowed = np.zeros((n_rows, n_langs), bool)
@@ -167,6 +177,23 @@ def infer(model: Model, counts: np.ndarray) -> np.ndarray:
             break
         best[active], chosen[active] = top[pays], share[pays]
         allowed[active, added[pays]] = True
+    active = np.flatnonzero(allowed.sum(1) > 2)
+    while len(active):
+        own = counts[active]
+        top, share, left_out = np.full(len(active), -np.inf), chosen[active], np.zeros(len(active), int)
+        for lang in np.flatnonzero(allowed[active].any(0)):
+            some = np.flatnonzero(allowed[active, lang])
+            fewer = allowed[active[some]]
+            fewer[:, lang] = False
+            mixed, fit_ = _mix(own[some], model.likelihood, fewer)
+            better = fit_ / OVERLAP > top[some]
+            at = some[better]
+            top[at], share[at], left_out[at] = fit_[better] / OVERLAP, mixed[better], lang
+        spared = top > best[active] - price[active] + 1e-9
+        active = active[spared]
+        best[active], chosen[active] = top[spared], share[spared]
+        allowed[active, left_out[spared]] = False
+        active = active[allowed[active].sum(1) > 2]
     return chosen
 
 
@@ -189,12 +216,13 @@ def predict(docs: DataFrame, model: Model, *keep: str | Column, text_col: str =
             flat, offsets = raw(batch.column("text"))
             n = batch.num_rows
             pred, score, shares = ["und"] * n, np.zeros(n), [[] for _ in range(n)]
+            kinds = len(model.likelihood)
             some = batch.column("has_letter").to_numpy(zero_copy_only=False)
             for first, last in slices(offsets) if model.languages else ():
                 own = offsets[first : last + 1]
                 row, bucket = _trigrams(flat[own[0] : own[-1]], own - own[0])
-                cell = row * KINDS + model.kind[bucket]
-                counts = np.bincount(cell, minlength=(last - first) * KINDS).reshape(-1, KINDS).astype(float)
+                cell = row * kinds + model.kind[bucket]
+                counts = np.bincount(cell, minlength=(last - first) * kinds).reshape(-1, kinds).astype(float)
                 mixed = infer(model, counts)
                 for k in np.flatnonzero(some[first:last]):
                     best = int(mixed[k].argmax())

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from millrace.llm.common import WHITE, hash_sample, raw, renamed, slices, tune, whole
 
 #: Labelled documents that the field is fitted to, the first by the hash of their id, and
-#: the lines a chain has in fitting. Both bound what comes to the driver.
+#: the lines a chain has in fitting: of a longer text a stretch of neighbouring lines, whose
+#: place the hash gives. Both bound what comes to the driver.
 FIT_DOCS, FIT_LINES = 4_000, 64
 FIT_STEPS, RATE, DECAY = 250, 0.1, 1e-3
 
@@ -184,8 +185,22 @@ def _marginals(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Every line's probability of good, and each text's length-weighted mean of them."""
     good, _, _ = Chains(row).forward_backward(with_neighbours(row, features) @ field.weight, field.pair)
+    return good, _mean(row, size, good, n)
+
+
+def _mean(row: np.ndarray, size: np.ndarray, good: np.ndarray, n: int) -> np.ndarray:
     weight = size + 1
-    return good, np.bincount(row, good * weight, n) / np.bincount(row, weight, n)
+    return np.bincount(row, good * weight, n) / np.bincount(row, weight, n)
+
+
+def stretches(row: np.ndarray, hashes: np.ndarray, most: int = FIT_LINES) -> tuple[np.ndarray, np.ndarray]:
+    """Which lines fitting takes: all of a text of ``most`` lines or fewer, else so many in
+    succession; and which it takes along with the line before and the one after them."""
+    starts = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+    lengths = np.diff(np.append(starts, len(row)))
+    begin = hashes[row[starts]].astype(np.uint64) % np.maximum(lengths - most + 1, 1).astype(np.uint64)
+    place = np.arange(len(row)) - np.repeat(starts + begin.astype(np.int64), lengths)
+    return (place >= -1) & (place <= most), (place >= 0) & (place < most)
 
 
 def fit(
@@ -207,34 +222,33 @@ def fit(
         for batch in batches:
             flat, offsets = raw(batch.column("text"))
             labels = batch.column("label").to_numpy(zero_copy_only=False)
+            hashes = batch.column("h").to_numpy()
             for first, last in slices(offsets):
                 own = offsets[first : last + 1]
                 row, size, features = line_features(flat[own[0] : own[-1]], own - own[0])
-                # Beyond the longest chain, every k-th line of a text, over all of it.
-                starts = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-                lengths = np.diff(np.append(starts, len(row)))
-                place = np.arange(len(row)) - np.repeat(starts, lengths)
-                every = np.repeat(-(-lengths // FIT_LINES), lengths)
-                use = place % every == 0
+                use, inner = stretches(row, hashes[first:last])
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("h").take(pa.array(row[use] + first)),
                         pa.array(labels[first:last][row[use]]),
                         pa.array(size[use]),
+                        pa.array(inner[use]),
                         pa.FixedSizeListArray.from_arrays(pa.array(features[use].ravel()), N_FEATURES).cast(pa.list_(pa.float64())),
                     ],
-                    names=["h", "label", "size", "features"],
+                    names=["h", "label", "size", "inner", "features"],
                 )
 
-    got = sample.coalesce(1).mapInArrow(lines, "h long, label int, size double, features array<double>").toArrow()
+    got = sample.coalesce(1).mapInArrow(lines, "h long, label int, size double, inner boolean, features array<double>").toArrow()
     h = got.column("h").to_numpy()
     if not len(h):
         return Field(np.zeros(3 * N_FEATURES + 3), np.zeros((2, 2)))
     row = np.cumsum(np.append(True, h[1:] != h[:-1])) - 1
-    label = got.column("label").to_numpy().astype(float)
-    size = got.column("size").to_numpy()
+    inner = got.column("inner").to_numpy()
     features = np.array(got.column("features").combine_chunks().flatten()).reshape(-1, N_FEATURES)
-    x = with_neighbours(row, features)
+    # The lines around a stretch are there for their neighbours' sake alone.
+    x, row = with_neighbours(row, features)[inner], row[inner]
+    label = got.column("label").to_numpy()[inner].astype(float)
+    size = got.column("size").to_numpy()[inner]
     chains = Chains(row)
     n = len(chains.starts)
     pairs = np.zeros((2, 2))
@@ -253,7 +267,7 @@ def fit(
         move = RATE * (moments[0] / (1 - 0.9**step)) / (np.sqrt(moments[1] / (1 - 0.99**step)) + 1e-8)
         field.weight = field.weight + move[:-4]
         field.pair = field.pair + move[-4:].reshape(2, 2)
-    odds = _odds(_marginals(field, row, size, features, n)[1])
+    odds = _odds(_mean(row, size, chains.forward_backward(x @ field.weight, field.pair)[0], n))
     truth = np.zeros(n)
     truth[row] = label
     beta = np.array([0.0, 0.0])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import partial
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -18,9 +19,6 @@ from millrace.staging import stage
 PACK_AT_ONCE = 100_000
 #: Groups whose bins meet in one task of the next round.
 FAN_IN = 8
-#: Bins that a group hands on to the next round at most, the emptiest first. The others
-#: are finished as they are: no row depends on it, only how full they are.
-HAND_ON = 2_048
 
 
 def best_fit(sizes: Iterable[int], capacity: int) -> tuple[list[int], list[int], list[int]]:
@@ -55,6 +53,22 @@ def best_fit(sizes: Iterable[int], capacity: int) -> tuple[list[int], list[int],
     return bin_of, offset, fill
 
 
+def goes_on(fill: list[int], capacity: int, rounds: int) -> list[bool]:
+    """Whether each bin of a packed group is an item of the next of so many further rounds.
+
+    Best fit leaves a group one bin at most that is no more than half full, and two fuller ones
+    never fit together. So a further round moves ``FAN_IN`` bins at most, each into a bin of
+    some fill, and of the bins of one fill ``FAN_IN`` a round are all that can be taken. The
+    others stay as they are, and the rounds leave bins as full as if all had gone on.
+    """
+    met: dict[int, int] = {}
+    on = []
+    for x in fill:
+        met[x] = met.get(x, 0) + 1
+        on.append(rounds > 0 and x < capacity and (2 * x <= capacity or met[x] <= FAN_IN * rounds))
+    return on
+
+
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
 
@@ -147,39 +161,37 @@ def _merge_rounds(pieces: DataFrame, capacity: int) -> DataFrame | None:
     open_bins = pieces.where((F.col("offset") == 0) & (F.col("fill") < capacity)).select("bin", "fill", "part")
     moved = None
 
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def merge(batches: Iterator[pa.RecordBatch], rounds: int) -> Iterator[pa.RecordBatch]:
         rows: dict[int, list[tuple[int, int]]] = {}
         for batch in batches:
             for b, size, part in zip(*(batch.column(x).to_pylist() for x in ("bin", "fill", "part")), strict=True):
                 rows.setdefault(part, []).append((b, size))
         for part, bins in rows.items():
             bins.sort(key=lambda x: (x[1], x[0]))
-            own, done = bins[: FAN_IN * HAND_ON], bins[FAN_IN * HAND_ON :]
-            bin_of, offset, fill = best_fit([x[1] for x in own], capacity)
-            first = {}
-            for k, at in enumerate(offset):
-                if at == 0:
-                    first[bin_of[k]] = own[k][0]
-            emptiest = set(sorted(first, key=lambda b: (fill[b], first[b]))[:HAND_ON])
-            on = [bin_of[k] in emptiest and fill[bin_of[k]] < capacity for k in range(len(own))]
+            bin_of, offset, fill = best_fit([x[1] for x in bins], capacity)
+            first = {bin_of[k]: bins[k][0] for k, at in enumerate(offset) if at == 0}
+            on = goes_on(fill, capacity, rounds)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([x[0] for x in own] + [x[0] for x in done], pa.int64()),
-                    pa.array([first[b] for b in bin_of] + [x[0] for x in done], pa.int64()),
-                    pa.array(offset + [0] * len(done), pa.int64()),
-                    pa.array([fill[b] for b in bin_of] + [x[1] for x in done], pa.int64()),
+                    pa.array([x[0] for x in bins], pa.int64()),
+                    pa.array([first[b] for b in bin_of], pa.int64()),
+                    pa.array(offset, pa.int64()),
+                    pa.array([fill[b] for b in bin_of], pa.int64()),
                     pa.array([part] * len(bins), pa.int64()),
-                    pa.array(on + [False] * len(done), pa.bool_()),
+                    pa.array([on[b] for b in bin_of], pa.bool_()),
                 ],
                 names=["bin", "into", "shift", "fill", "part", "on"],
             )
 
     while True:
         n = -(-n // FAN_IN)
+        rounds, left = 0, n
+        while left > 1:
+            rounds, left = rounds + 1, -(-left // FAN_IN)
         # Of a task's bins, those that go on are chosen where the bins are.
         grouped = open_bins.withColumn("part", F.floor(F.col("part") / FAN_IN)).repartition(n, "part")
         step = stage(
-            grouped.mapInArrow(merge, "bin long, into long, shift long, fill long, part long, on boolean"),
+            grouped.mapInArrow(partial(merge, rounds=rounds), "bin long, into long, shift long, fill long, part long, on boolean"),
             "packing-round",
         )
         changed = step.where("bin <> into or shift <> 0").select("bin", "into", "shift")

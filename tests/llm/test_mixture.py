@@ -1,3 +1,5 @@
+from itertools import combinations
+
 import numpy as np
 
 from millrace.llm import langid
@@ -14,3 +16,37 @@ def test_a_text_has_as_many_languages_as_pay():
     assert np.allclose(shares.max(1), [1 / n for n in range(1, 7)], atol=0.01)
     assert (langid.infer(model, np.array([[300.0, 1, 1, 0, 0, 0]])) > 0).sum() == 1
     assert (langid.infer(model, np.zeros((1, 6))) > 0).sum() == 1
+
+
+def test_the_set_is_the_best_of_all_sets():
+    """Against every set of four languages, some of them near mixtures of others."""
+    rng = np.random.default_rng(7)
+    likelihood = rng.dirichlet(np.full(40, 0.3), 4).T
+    likelihood[:, 3] = 0.5 * likelihood[:, 0] + 0.4 * likelihood[:, 1] + 0.1 * likelihood[:, 3]
+    likelihood = (likelihood + 1e-3) / likelihood.max(1, keepdims=True)
+    model = langid.Model(list("abcd"), np.zeros(0, np.int32), likelihood)
+    true = rng.dirichlet(np.full(4, 0.4), 120)
+    means = true @ (likelihood / likelihood.sum(0)).T
+    counts = np.array([rng.multinomial(n, p / p.sum()) for n, p in zip(rng.integers(30, 900, 120), means, strict=True)]).astype(float)
+    shares = langid.infer(model, counts)
+    price = 0.5 * np.log(np.maximum(counts.sum(1) / langid.OVERLAP, 2))
+    values = {}
+    for n in range(1, 5):
+        for own in combinations(range(4), n):
+            allowed = np.zeros((120, 4), bool)
+            allowed[:, list(own)] = True
+            values[own] = langid._mix(counts, likelihood, allowed)[1] / langid.OVERLAP - (n - 1) * price
+    best = np.max(list(values.values()), axis=0)
+    reached = np.array([values[tuple(np.flatnonzero(x))][k] for k, x in enumerate(shares)])
+    assert (reached >= best - 0.01).mean() >= 0.97
+
+
+def test_a_language_that_later_ones_make_useless_goes():
+    """The first one chosen lies between the two that make up the text."""
+    ends = np.array([[1.0, 0.05], [0.05, 1.0]]).repeat(20, 0)
+    between = ends.mean(1) * np.where(np.arange(40) % 5 == 0, 0.8, 1.0)
+    likelihood = np.column_stack([between, ends])
+    counts = np.full((1, 40), 600.0)
+    assert (counts @ np.log(likelihood)).argmax() == 0
+    shares = langid.infer(langid.Model(list("abc"), np.zeros(0, np.int32), likelihood), counts)
+    assert np.flatnonzero(shares[0]).tolist() == [1, 2]

@@ -42,16 +42,20 @@ def test_no_language_to_learn(documents):
     assert langid.predict(documents([]).drop("score"), model, "doc_id").count() == 0
 
 
-def test_expectation_maximisation_climbs():
+def test_expectation_maximisation_ends_at_the_best_shares():
+    """Where no share can rise: the slope of each language met is that of the mean."""
     rng = np.random.default_rng(2)
-    likelihood, counts = rng.random((langid.KINDS, 4)), rng.integers(0, 5, (3, langid.KINDS)).astype(float)
-    before = None
-    for steps in (1, 3, 12):
-        langid.STEPS, kept = steps, langid.STEPS
-        _, fit = langid._mix(counts, likelihood, np.ones((3, 4), bool))
-        langid.STEPS = kept
-        assert before is None or (fit >= before - 1e-9).all()
-        before = fit
+    likelihood, counts = rng.random((300, 4)), rng.integers(0, 5, (6, 300)).astype(float)
+    allowed = np.ones((6, 4), bool)
+    allowed[3:, 1] = False
+    share, reached = langid._mix(counts, likelihood, allowed)
+    assert np.allclose(share.sum(1), 1) and not share[3:, 1].any()
+    slope = (counts / (share @ likelihood.T)) @ likelihood / counts.sum(1, keepdims=True)
+    assert (slope[allowed] < 1.02).all() and np.allclose(slope[share > 0.05], 1, atol=0.02)
+    for _ in range(200):
+        other = rng.dirichlet(np.ones(4), 6) * allowed
+        other /= other.sum(1, keepdims=True)
+        assert ((counts * np.log(other @ likelihood.T)).sum(1) <= reached + 0.05).all()
 
 
 def test_forward_backward_against_all_labellings():
@@ -112,6 +116,17 @@ def test_quality_on_held_out_texts(spark, documents, rows_of):
     assert all(abs(r.score - 0.5) < 1e-9 for r in linequality.score(docs, nothing, "doc_id").collect())
 
 
+def test_long_texts_are_fitted_by_true_neighbours():
+    row = np.repeat([0, 1, 2], [7, 100, 64])
+    use, inner = linequality.stretches(row, np.array([5, -3, 11]), 64)
+    assert np.bincount(row[inner]).tolist() == [7, 64, 64]
+    features = np.arange(171.0)[:, None] + np.zeros(linequality.N_FEATURES)
+    full = linequality.with_neighbours(row, features)
+    assert np.array_equal(linequality.with_neighbours(row[use], features[use])[inner[use]], full[inner])
+    taken = np.flatnonzero(inner[row == 1])
+    assert (np.diff(taken) == 1).all()
+
+
 def plain_measures(text):
     found = WORD.findall(text)
     lines = [x for x in text.split("\n") if WORD.search(x)]

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -99,6 +100,26 @@ def test_rounds_merge_what_tasks_left_open(spark):
     assert {x for _, x in ends} == set(range(0, 4096, 256))
 
 
+def test_rounds_leave_bins_as_full_as_if_all_went_on(spark):
+    """Against rounds in plain Python that hand on every bin; most are more than half full."""
+    rng = random.Random(8)
+    groups = [[rng.choice([33, 34, 40, 47, 48, 63, 64]) for _ in range(400)] + [rng.randrange(1, 33)] for _ in range(70)]
+    rows = [(k, 0, 0, x, 0, (g << 33) + k, 0, x, g) for g, own in enumerate(groups) for k, x in enumerate(own)]
+    shape = "id long, piece int, start long, length long, ids_crc32 long, bin long, offset long, fill long, part long"
+    moved = {r.bin: (r.into, r.shift) for r in packing._merge_rounds(spark.createDataFrame(rows, shape), 64).collect()}
+    found = {}
+    for row in rows:
+        into, shift = moved.get(row[5], (row[5], 0))
+        found.setdefault(into, []).append((shift, row[3]))
+    for own in found.values():
+        assert [at for at, _ in sorted(own)] == [sum(x for _, x in sorted(own)[:k]) for k in range(len(own))]
+    while len(groups) > 1:
+        merged = [sum(groups[k : k + packing.FAN_IN], []) for k in range(0, len(groups), packing.FAN_IN)]
+        groups = [packing.best_fit(own, 64)[2] for own in merged]
+    assert sorted(sum(x for _, x in own) for own in found.values()) == sorted(groups[0])
+    assert sum(packing.goes_on([40] * 400, 64, 2)) == 2 * packing.FAN_IN
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(1, 32), max_size=60))
 def test_best_fit_is_a_packing(sizes):
