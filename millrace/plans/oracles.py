@@ -259,6 +259,10 @@ _ORACLES = {
       GROUP BY order_year, order_month""",
     "merge_replay": f"{_BASE} {_KEYS}",
     "merge_three_runs": f"{_BASE} {_KEYS}",
+    "compacted_silver": f"""{_BASE}
+      SELECT order_year, order_month, CAST(1 AS BIGINT) AS files, COUNT(*) AS row_count, COUNT(*) AS keys,
+             CAST(SUM(CAST(rev / 100.0 AS DECIMAL(18,4))) AS VARCHAR) AS revenue
+      FROM silver GROUP BY order_year, order_month""",
     "merge_scattered": f"{_BASE} {_KEYS}",
     "missing_ranges": f"""{_BASE},
       lost AS (SELECT part_no, pos FROM topic

@@ -37,7 +37,7 @@ from millrace.operators.validate import (
     valid,
 )
 from millrace.errors import DuplicateKeyError
-from millrace.plans import jobs, reports, rollup
+from millrace.plans import compact, jobs, reports, rollup
 from millrace.schemas import HEADERS, KEY, MANIFEST, SALES_COLUMNS, SILVER, TOPIC
 from millrace.settings import DEFAULT_TOPIC, DEFAULT_TOPIC_PARTITIONS, Settings
 from millrace.sources import archive, landing, star, tables
@@ -489,6 +489,22 @@ def merge_three_runs(spark, sf_dir):
     return plain(_merged(spark, path))
 
 
+def compacted_silver(spark, sf_dir):
+    """Three loads of each month, then its small files brought together, and one more load of
+    rows that are all there already. A month has one file."""
+    path = fresh_path(spark, "compact")
+    batch = stage(curated(spark, sf_dir), "batch")
+    for run in range(3):
+        merge_into(batch.where(_offset_of(KEY) % 3 == run), path)
+    compact.compact(spark, path)
+    merge_into(batch.where(_offset_of(KEY) % 2 == 0), path)
+    files = tables.read_silver(spark, path).withColumn("file", F.col("_metadata.file_name"))
+    return plain(files.groupBy("order_year", "order_month").agg(
+        F.countDistinct("file").alias("files"), F.count("*").alias("row_count"),
+        F.countDistinct(KEY).alias("keys"), F.sum("total_revenue").cast("decimal(28,4)").alias("revenue"),
+    ))
+
+
 def merge_incremental(spark, sf_dir):
     """What a merge adds to a stored table that lacks every fourth offset."""
     path = fresh_path(spark, "merge")
@@ -1127,6 +1143,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         silver_partitions,
         merge_replay,
         merge_three_runs,
+        compacted_silver,
         merge_incremental,
         merge_scattered,
         merge_counters,
