@@ -16,13 +16,15 @@ from millrace.llm.common import letters
 from millrace.llm.jaccard import jaccard_groups
 from millrace.llm.mixing import mix
 from millrace.llm.packing import pack
+from millrace.llm.simhash import simhash_links
 from millrace.llm.suffix import remove_repeats
-from millrace.staging import stage
+from millrace.staging import stage, staging
 
 #: The least share of a text that one language must have.
 LEAST_SHARE = 0.5
-#: Near-duplicates: the least Jaccard similarity of two texts' sets of five-word shingles.
-SHINGLE, JACCARD = 5, 0.8
+#: Near-duplicates: the least Jaccard similarity of two texts' sets of five-word shingles, and
+#: the bits of 64 that fingerprints found to be close differ in. No result depends on the bits.
+SHINGLE, JACCARD, NEAR_BITS = 5, 0.8, 8
 #: Bytes of a passage that must not occur twice.
 PASSAGE = 200
 
@@ -44,8 +46,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document of the smallest id of each group. One without an id can't stand
     for a group and goes. Of rows that share an id the one of the least text stays, null before
-    any, and of equal texts that of the least language, source and length."""
-    groups = jaccard_groups(docs, SHINGLE, JACCARD)
+    any, and of equal texts that of the least language, source and length.
+
+    Near-duplicates are found by SimHash fingerprints, each checked exactly. Fingerprints miss
+    pairs near the threshold: a join on shingles finds what is left."""
+    with staging(spark):
+        close = simhash_links(docs, SHINGLE, NEAR_BITS)
+        groups = jaccard_groups(docs, SHINGLE, JACCARD, first=close)
     kept = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id")
     own = docs.join(kept, "doc_id", "left_semi").select("doc_id", _whole(docs))
     order = F.struct(*[_field(docs, c) for c in ("text", "lang", "source", "n_chars")])

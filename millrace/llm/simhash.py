@@ -351,9 +351,29 @@ def simhash_groups(
     its fingerprint's component. Repeated rows stay. Ids must be whole numbers.
     """
     names = [f"f{k}" for k in range(words)]
-    prints = stage(fingerprints(docs, shingle, words, id_col, text_col), "fingerprints")
-    nodes = stage(prints.groupBy(*names).agg(F.min("id").cast("long").alias("node")), "fingerprint-nodes")
-    links = close_pairs(nodes.where("node is not null"), radius, words, far, bucket)
+    prints, nodes, links = _search(docs, shingle, radius, words, far, bucket, id_col, text_col)
     joined = components(links)
     classes = nodes.join(joined, "node", "left").select(*names, F.coalesce("component", "node").alias("component_id"))
     return prints.join(classes, names).select(F.col("id").alias(id_col), *names, "component_id")
+
+
+def simhash_links(
+    docs: DataFrame, shingle: int = 3, radius: int = 2, bucket: int = BUCKET, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(a, b) ids, a above b, that join what ``simhash_groups`` joins: each id to the smallest
+    of its fingerprint, and these by the links found. There are at most so many as rows and
+    probes, not as pairs."""
+    prints, nodes, links = _search(docs, shingle, radius, 1, None, bucket, id_col, text_col)
+    copies = prints.join(nodes, "f0").where("id > node").select(F.col("id").cast("long").alias("a"), F.col("node").alias("b"))
+    return links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).unionByName(copies).distinct()
+
+
+def _search(
+    docs: DataFrame, shingle: int, radius: int, words: int, far: int | None, bucket: int, id_col: str, text_col: str
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Each row's fingerprint, the different fingerprints with their smallest ids, and links
+    between these."""
+    names = [f"f{k}" for k in range(words)]
+    prints = stage(fingerprints(docs, shingle, words, id_col, text_col), "fingerprints")
+    nodes = stage(prints.groupBy(*names).agg(F.min("id").cast("long").alias("node")), "fingerprint-nodes")
+    return prints, nodes, close_pairs(nodes.where("node is not null"), radius, words, far, bucket)

@@ -115,3 +115,65 @@ def test_null_and_repeated_ids(documents):
     found = sorted((r.doc_id or -1, r.component_id or -1) for r in jaccard.jaccard_groups(documents(rows), 5, 0.8).collect())
     assert found == [(-1, -1), (-1, 5), (2, 2), (5, 5), (5, 5)]
     assert jaccard.jaccard_groups(documents([]), 5, 0.8).count() == 0
+
+
+def test_wide_parities_fold_and_never_exceed_what_differs():
+    rng = np.random.default_rng(2)
+    base = rng.integers(-(2**63), 2**63 - 1, 9_000)
+    for n, m in ((300, 300), (2_000, 2_100), (5_000, 8_900), (9_000, 9_000)):
+        a = np.unique(base[:n])
+        b = np.unique(np.concatenate([base[: m // 2], rng.integers(-(2**63), 2**63 - 1, m - m // 2)]))
+        differ = len(np.setxor1d(a, b))
+        told = jaccard.differing(jaccard._wide(a), jaccard._wide(b))
+        assert 0.7 * differ <= told <= differ and (told - differ) % 2 == 0
+        assert jaccard.differing(jaccard._wide(a), jaccard._wide(a)) == 0
+    assert jaccard._wide(base[:200]) is None
+
+
+def counted_stages(monkeypatch):
+    rows, stage = {}, jaccard.stage
+
+    def counted(df, name):
+        out = stage(df, name)
+        rows[name] = rows.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "stage", counted)
+    return rows
+
+
+def test_near_dedup_goes_by_fingerprints(spark, documents, monkeypatch):
+    """What fingerprints link and an exact check confirms is not compared again by shingles."""
+    rng = random.Random(10)
+    texts = []
+    for base in range(5):
+        words = [f"b{base}w{k}" for k in range(400)]
+        texts.append(" ".join(words))
+        for k in range(12):
+            own = list(words)
+            own[rng.randrange(400)] = f"x{base}_{k}"
+            texts.append(" ".join(own))
+    rows = counted_stages(monkeypatch)
+    kept = corpus_pipeline.near_dedup(spark, documents(texts), "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(brute(texts)))
+    assert rows["suggested"] >= 60 and rows.get("pairs", 0) == 0
+
+
+def test_fingerprints_are_checked_exactly(documents):
+    """Links that are suggested hold only at the threshold, whatever suggests them."""
+    texts = corpus()
+    spark = documents(texts).sparkSession
+    wrong = spark.createDataFrame([(k, k - 1) for k in range(1, len(texts))] + [(5_000, 1)], "a long, b long")
+    found = jaccard.jaccard_groups(documents(texts), 5, 0.8, first=wrong)
+    assert dict(map(tuple, found.collect())) == dict(enumerate(brute(texts)))
+
+
+def test_sets_of_long_unlike_texts_are_not_gathered(documents, monkeypatch):
+    """Long texts that share half of their words fill up 1,024 parities, not their own."""
+    rng = random.Random(11)
+    shared = [f"s{k}" for k in range(3_000)]
+    texts = [" ".join([*shared, *(f"t{j}_{rng.random()}" for _ in range(1_500))]) for j in range(6)]
+    rows = counted_stages(monkeypatch)
+    found = jaccard.jaccard_groups(documents(texts), 5, 0.8)
+    assert dict(map(tuple, found.collect())) == {k: k for k in range(6)}
+    assert rows["pairs"] > 0 and rows["sets"] == 0

@@ -98,3 +98,17 @@ def test_components_of_chains_and_stars(spark):
     found = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert found == {**{k: 0 for k in range(1, 41)}, **{k: 100 for k in range(101, 160)}, 201: 200}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_links_join_what_groups_join(documents, spark):
+    rng = random.Random(6)
+    words = [f"w{k}" for k in range(300)]
+    base = [" ".join(rng.choices(words, k=120)) for _ in range(8)]
+    texts = [None, "", *base, *base[:4], *(f"{x} changed" for x in base)]
+    rows = [*enumerate(texts), (None, base[0])]
+    groups = {r.doc_id: r.component_id for r in simhash.simhash_groups(documents(rows), 5, 6).collect() if r.doc_id is not None}
+    links = simhash.simhash_links(documents(rows), 5, 6)
+    assert links.where("a <= b or a is null or b is null").count() == 0
+    least = dict(components(links).collect())
+    assert {k: least.get(k, k) for k in groups} == groups
+    assert len(set(groups.values())) < len(texts) - 4
