@@ -21,10 +21,10 @@ SLICE_BYTES = 1 << 20
 WHITE = b"\t\n\x0b\x0c\r "
 
 
-def tune(spark: SparkSession) -> None:
+def tune(spark: SparkSession, most: int = BATCH_BYTES) -> None:
     """Keep the batches that Python workers get small, so that long texts fit."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
 
 
 def drop_shuffles(spark: SparkSession) -> None:

@@ -23,6 +23,8 @@ from millrace.staging import fresh_path, stage, staging
 
 #: Shingles that are told apart as frequent. No result depends on which they are.
 FREQUENT = 500_000
+#: Bytes of text that a worker is handed, and those among which shingles must repeat to be counted.
+BATCH_BYTES, COUNTED_BYTES = 2 << 20, 8 << 20
 #: Pivots a key has in the first round, and how many times as many in each further one.
 PIVOTS, MORE_PIVOTS = 1, 16
 #: Sets of a key that are all compared to each other at once.
@@ -108,17 +110,26 @@ def _frequent(source: DataFrame, shingle: int, most: int) -> tuple[np.ndarray, n
     """The upper halves of the most frequent shingles, in order, and their counts' powers of
     two: all those of at least the smallest power that leaves ``most`` of them.
 
-    Whatever occurs once among the different sets of a batch of texts is not counted there:
+    Whatever occurs once among the different sets of some batches of texts is not counted there:
     nearly all shingles are such, while a frequent one is met several times in many batches.
     """
 
+    def counted(uppers: dict[int, np.ndarray]) -> pa.RecordBatch:
+        keys, n = np.unique(np.concatenate([np.zeros(0, np.int32), *uppers.values()]), return_counts=True)
+        keys, n = keys[n > 1], n[n > 1]
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], names=["key", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        uppers, size = {}, 0
         for batch in batches:
-            sets = {_name(x): x for x in (_shingles(x, shingle) for x in batch.column("text").to_pylist())}
-            upper = np.concatenate([np.zeros(0, np.int64), *sets.values()]) >> 32
-            keys, n = np.unique(upper, return_counts=True)
-            keys, n = keys[n > 1], n[n > 1]
-            yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int32)), pa.array(n.astype(np.int64))], names=["key", "n"])
+            for text in batch.column("text").to_pylist():
+                hashes = _shingles(text, shingle)
+                uppers[_name(hashes)] = (hashes >> 32).astype(np.int32)
+            size += batch.nbytes
+            if size >= COUNTED_BYTES:
+                yield counted(uppers)
+                uppers, size = {}, 0
+        yield counted(uppers)
 
     counts = source.select("text").mapInArrow(run, "key int, n long").groupBy("key").agg(F.sum("n").alias("n"))
     counts = stage(counts.where("n > 8"), "shingle-counts")
@@ -334,7 +345,7 @@ def jaccard_groups(
     spare the comparisons of what they link.
     """
     spark = docs.sparkSession
-    tune(spark)
+    tune(spark, BATCH_BYTES)
     source = renamed(docs, id=id_col, text=text_col).select("id", whole("text").alias("text"))
     path = fresh_path(spark, "jaccard-groups")
     with staging(spark):

@@ -19,15 +19,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import SLICE_BYTES, raw, slices, tune, whole
+from millrace.llm.common import raw, slices, tune, whole
 from millrace.staging import stage
 
 #: Bytes of the strings whose least hash is a window's key; a power of two.
 GRAM = 32
+#: Bytes of text that a worker is handed, and those that it hashes at a time: for each byte it
+#: holds some twenty words.
+BATCH_BYTES, SLICE_BYTES = 2 << 20, 1 << 18
 #: Windows a run has at most. Where it is cut has no bearing on the result.
 RUN = 256
 #: Bytes that one index holds. A key whose runs hold more is resolved by window hashes.
 INDEX_BYTES = 1 << 20
+#: Bytes that an index of several keys holds. Keys share no window: where they are parted has
+#: no bearing on the result, and an index takes some hundred bytes for each of its own.
+GATHERED_BYTES = 1 << 18
 #: Bits of the filter of repeated keys: eight a key, up to a bound, beyond which more runs
 #: pass that occur once. Those change nothing but the work.
 FILTER_BITS_A_KEY, FILTER_BITS_MOST = 8, 1 << 27
@@ -72,7 +78,7 @@ def _runs(flat: np.ndarray, offsets: np.ndarray, length: int, twins: bool = Fals
     """(row, first window in the row, windows, key, first byte in ``flat``) of each run; with
     ``twins``, also whether some window may occur twice inside it."""
     width = length - GRAM + 1
-    for first, last in slices(offsets):
+    for first, last in slices(offsets, SLICE_BYTES):
         start, stop = int(offsets[first]), int(offsets[last])
         for at in range(start, max(start + 1, stop - length + 1), SLICE_BYTES):
             # A text beyond a slice goes on with the window after the slice's last one.
@@ -252,7 +258,7 @@ def _resolve(length: int):
 
         for batch in batches:
             for row in zip(*(batch.column(x).to_pylist() for x in ("h", "s", "seg", "copies")), strict=True):
-                if size >= INDEX_BYTES and held[-1][0] != row[0]:
+                if size >= min(GATHERED_BYTES, INDEX_BYTES) and held[-1][0] != row[0]:
                     yield from out(held)
                     held, size = [], 0
                 held.append(row)
@@ -294,7 +300,7 @@ def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
     """(id, th, spans) of the texts of ``docs`` (id, th, text) in which some window also
     starts elsewhere; a span is the first byte and the number of such windows."""
     spark = docs.sparkSession
-    tune(spark)
+    tune(spark, BATCH_BYTES)
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -383,7 +389,7 @@ def remove_repeats(
     enough. ``kept`` need not be valid UTF-8, as a repeat may begin or end inside of a
     character.
     """
-    tune(docs.sparkSession)
+    tune(docs.sparkSession, BATCH_BYTES)
     carried = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(None).cast("string")
     source = docs.select(
         F.col(f"`{id_col}`").alias("id"), whole(F.col(f"`{text_col}`")).alias("text"), carried.alias("carried")

@@ -1,8 +1,10 @@
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from millrace.llm import suffix
@@ -81,3 +83,32 @@ def test_matching_statistics():
         expected = [max(shared(i, j) for j in range(len(flat)) if j != i) for i in range(len(flat))]
         assert index.matching_statistics().tolist() == expected
         assert index.runs <= len(flat)
+
+
+def most_held(make):
+    tracemalloc.start()
+    try:
+        out = [x for x in make()]
+        return tracemalloc.get_traced_memory()[1] / 1e6, out
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_worker_holds_little():
+    """In MB, for 2 MB of text: two workers share what an executor has besides its heap."""
+    rng = np.random.default_rng(6)
+    flat = rng.integers(97, 123, 2 << 20).astype(np.uint8)
+    offsets = np.arange(0, len(flat) + 1, 1 << 12)
+    mb, runs = most_held(lambda: suffix._runs(flat, offsets, 200, twins=True))
+    assert mb < 60 and sum(int(x[2].sum()) for x in runs) == (len(offsets) - 1) * ((1 << 12) - 199)
+
+    segs = [flat[k * 1000 : k * 1000 + 400].tobytes() for k in range(2000)]
+    rows = [(k, 2 * k + s, seg) for k, seg in enumerate(segs) for s, seg in enumerate((seg, b"x" + seg[:300]))]
+    h, s, seg = zip(*rows, strict=True)
+    batch = pa.RecordBatch.from_arrays([pa.array(h), pa.array(s), pa.array(seg), pa.array([1] * len(rows))], names=["h", "s", "seg", "copies"])
+    mb, found = most_held(lambda: suffix._resolve(200)(iter([batch])))
+    assert mb < 60
+    runs = [x for part in found for x in part.to_pylist()]
+    assert [(x["h"], x["s"], x["runs"]) for x in runs] == [
+        (k, 2 * k + s, [{"off": s, "n": 101}]) for k in range(2000) for s in (0, 1)
+    ]
