@@ -950,9 +950,11 @@ def _drain(*queries) -> None:
 
 
 def _stream_layers(
-    spark: SparkSession, sf_dir: str, settings: Settings, run: str, messages: str | None = None
+    spark: SparkSession, sf_dir: str, settings: Settings, run: str,
+    change: Callable[[DataFrame], DataFrame] = lambda messages: messages,
 ) -> None:
-    source = ingest.topic_stream(spark, messages or topic_path(spark, sf_dir), max_files=3)
+    """``change`` is made to the messages as they are read."""
+    source = change(ingest.topic_stream(spark, topic_path(spark, sf_dir), max_files=3))
     _drain(
         ingest.start_bronze(
             spark,
@@ -1069,9 +1071,7 @@ def strict_stream(spark, sf_dir):
 def stream_poison(spark, sf_dir):
     """Bad messages are set aside and the stream goes on."""
     settings = _settings(spark, "stream")
-    messages = fresh_path(spark, "poisoned")
-    tables.append_topic(_poisoned(topic(spark, sf_dir)), messages)
-    _stream_layers(spark, sf_dir, settings, "a", messages)
+    _stream_layers(spark, sf_dir, settings, "a", _poisoned)
     aside = (
         spark.read.option("recursiveFileLookup", True)
         .parquet(settings.layer("quarantine"))
