@@ -1,15 +1,18 @@
 """What jobs and queries leave on disk, or carry through shuffles, that they need not."""
 
+import gzip
 import os
 import time
+import zipfile
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from millrace import staging
 from millrace.operators.curate import curate
-from millrace.plans import queries
-from millrace.sources import star
+from millrace.plans import jobs, queries
+from millrace.sources import archive, star
 from millrace.sources.tables import append_silver
 
 
@@ -97,3 +100,17 @@ def test_line_items_are_dealt_for_two_joins(spark, star_dir):
 @pytest.mark.parametrize("name, gone", [("stream_poison", "poisoned"), ("stream_run_log", "poisoned")])
 def test_a_query_keeps_no_further_copy_of_a_layer(spark, star_dir, name, gone):
     assert gone not in new_folders(spark, lambda: queries.QUERIES[name](spark, star_dir).collect())
+
+
+def test_small_members_land_packed_and_large_ones_plain(tmp_path, monkeypatch):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as out:
+        out.writestr("m.csv", "a\n" * 100)
+    batch = pd.DataFrame({"archive": [str(tmp_path / "a.zip")], "member": ["m.csv"], "version": ["v"]})
+    extract = archive._extract_batches(str(tmp_path / "out"))
+    landed = lambda: [f.name for f in (tmp_path / "out" / "v").iterdir()]
+    file = next(iter(extract(iter([batch]))))["file"][0]
+    assert file.endswith(".csv.gz") and landed() == [file.removeprefix("v/")]
+    assert gzip.decompress((tmp_path / "out" / file).read_bytes()) == b"a\n" * 100
+    monkeypatch.setattr(archive, "PACKED", 10)
+    file = next(iter(extract(iter([batch]))))["file"][0]
+    assert file.endswith(".csv") and landed() == [file.removeprefix("v/")]
