@@ -13,7 +13,7 @@ from millrace import staging
 from millrace.operators.curate import curate
 from millrace.plans import jobs, queries
 from millrace.sources import archive, star
-from millrace.sources.tables import append_silver
+from millrace.sources.tables import append_silver, read_bronze_ndjson, write_bronze_ndjson
 
 
 @pytest.fixture(scope="module")
@@ -102,6 +102,17 @@ def test_a_query_keeps_no_further_copy_of_a_layer(spark, star_dir, name, gone):
     assert gone not in new_folders(spark, lambda: queries.QUERIES[name](spark, star_dir).collect())
 
 
+def test_ndjson_is_packed(spark, bronze_rows, tmp_path):
+    path = tmp_path / "nd"
+    write_bronze_ndjson(bronze_rows(*[{"kafka_offset": n} for n in range(3)]), str(path), "batch-0")
+    files = [f for f in (path / "batch-0").iterdir() if f.name.startswith("part-")]
+    assert files and all(f.name.endswith(".json.gz") for f in files)
+    text = next(t for f in files if (t := gzip.decompress(f.read_bytes())))
+    (path / "plain.json").write_bytes(text.replace(b'"kafka_offset":', b'"kafka_offset":1'))
+    (path / "other.txt.gz").write_bytes(gzip.compress(b"not json"))
+    assert read_bronze_ndjson(spark, str(path), "*.json").count() == 3 + text.count(b"\n")
+
+
 def test_small_members_land_packed_and_large_ones_plain(tmp_path, monkeypatch):
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as out:
         out.writestr("m.csv", "a\n" * 100)
