@@ -371,7 +371,8 @@ def bronze_nested_roundtrip(spark, sf_dir):
 
 
 def offset_read_order(spark, sf_dir):
-    ordered = read_rank(bronze(spark, sf_dir).unionAll(bronze(spark, sf_dir)).dropDuplicates(["kafka_partition", "kafka_offset"]))
+    positions = bronze(spark, sf_dir).select("kafka_topic", "kafka_partition", "kafka_offset")
+    ordered = read_rank(positions.unionAll(positions).dropDuplicates(["kafka_partition", "kafka_offset"]))
     return ordered.select("kafka_partition", "kafka_offset", "read_rank")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from millrace import staging
 from millrace.operators.curate import curate
 from millrace.plans import jobs, queries
-from millrace.sources import archive, star
+from millrace.sources import archive, star, topic
 from millrace.sources.tables import append_silver, read_bronze_ndjson, write_bronze_ndjson
 
 
@@ -102,6 +102,15 @@ def test_a_query_keeps_no_further_copy_of_a_layer(spark, star_dir, name, gone):
     assert gone not in new_folders(spark, lambda: queries.QUERIES[name](spark, star_dir).collect())
 
 
+def test_read_order_ranks_positions_alone(spark, star_dir, monkeypatch):
+    staged = []
+    queries.bronze(spark, star_dir)
+    monkeypatch.setattr(topic, "stage_lean", lambda df, name: staged.append(df.columns) or staging.stage_lean(df, name))
+    rows = queries.offset_read_order(spark, star_dir).collect()
+    assert sorted(r.read_rank for r in rows) == list(range(200))
+    assert staged == [["kafka_topic", "kafka_partition", "kafka_offset", "_all", "_slot"]]
+
+
 def test_ndjson_is_packed(spark, bronze_rows, tmp_path):
     path = tmp_path / "nd"
     write_bronze_ndjson(bronze_rows(*[{"kafka_offset": n} for n in range(3)]), str(path), "batch-0")
