@@ -97,7 +97,7 @@ def test_line_items_are_dealt_for_two_joins(spark, star_dir):
     assert rows.count() == 400
 
 
-@pytest.mark.parametrize("name, gone", [("stream_poison", "poisoned"), ("stream_run_log", "poisoned")])
+@pytest.mark.parametrize("name, gone", [("stream_poison", "poisoned"), ("stream_run_log", "poisoned"), ("merge_scattered", "batch")])
 def test_a_query_keeps_no_further_copy_of_a_layer(spark, star_dir, name, gone):
     assert gone not in new_folders(spark, lambda: queries.QUERIES[name](spark, star_dir).collect())
 
