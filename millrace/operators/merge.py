@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from millrace.errors import DuplicateKeyError
 from millrace.schemas import KEY, SILVER, SILVER_PARTITIONS
 from millrace.sources.tables import append_silver, exists, read_silver
-from millrace.staging import stage, stage_lean, staging
+from millrace.staging import stage_lean, staging
 
 FIRST_BY = ["bronze_ingested_at", "source_file"]
 
@@ -55,12 +55,14 @@ def inserts(batch: DataFrame, stored_keys: DataFrame, received: int | None = Non
     Only key columns are compared with what is stored. The keys found new then pick their
     rows: where they are few, by a broadcast that the engine chooses by their size as
     measured, so that nothing but new rows is shuffled; else in one shuffle, which
-    ``first_wins`` shares.
+    ``first_wins`` shares. Where there are as many as rows, these are all new, and stay as they are.
     """
     few = received is not None and received <= LOOKUPS
     near = stored_keys.where(keys_of(batch) if few else near_keys_of(batch))
-    fresh = batch.select(KEY).distinct().join(near, KEY, "left_anti")
-    return first_wins(batch.join(stage(fresh, "fresh-keys"), KEY, "left_semi"))
+    fresh = stage_lean(batch.select(KEY).distinct().join(near, KEY, "left_anti"), "fresh-keys")
+    if received and fresh.agg(F.count(KEY)).first()[0] == received:
+        return batch
+    return first_wins(batch.join(fresh, KEY, "left_semi"))
 
 
 def keys_of(batch: DataFrame) -> Column:
@@ -182,9 +184,10 @@ def merge_staged(
         if number:
             raise DuplicateKeyError(number, first)
     seen = Observation("merge")
+    number = counts["received"] - counts["rejected"]
     # Counted in the writing stage itself, where a retried task counts once.
     append_silver(
-        (inserts(rows, stored_keys, counts["received"]) if exists(spark, path) else first_wins(rows)).select(*SILVER.fieldNames()),
+        (inserts(rows, stored_keys, number) if exists(spark, path) else first_wins(rows)).select(*SILVER.fieldNames()),
         path,
         observe=(seen, F.count(F.lit(1)).alias("written")),
     )

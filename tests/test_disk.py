@@ -1,5 +1,6 @@
 """What jobs and queries leave on disk, or carry through shuffles, that they need not."""
 
+import datetime as dt
 import gzip
 import os
 import time
@@ -10,11 +11,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace import staging
+from millrace.operators import merge
 from millrace.operators.curate import curate
 from millrace.plans import jobs, queries
+from millrace.schemas import KEY
 from millrace.sources import archive, star, topic
 from millrace.sources.tables import append_silver, read_bronze_ndjson, write_bronze_ndjson
 
+LATER = dt.datetime(2022, 1, 1, tzinfo=dt.timezone.utc)
+
 
 @pytest.fixture(scope="module")
 def star_dir(spark, tmp_path_factory):
@@ -111,6 +116,23 @@ def test_read_order_ranks_positions_alone(spark, star_dir, monkeypatch):
     assert staged == [["kafka_topic", "kafka_partition", "kafka_offset", "_all", "_slot"]]
 
 
+def rows_of(spark, bronze_rows, offsets):
+    changes = [{"kafka_offset": n, "order_id": k, "ingested_at": LATER if k % 2 else LATER - dt.timedelta(days=k + 1)} for k, n in enumerate(offsets)]
+    return staging.stage(curate(bronze_rows(*changes)), "rows")
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
+def test_rows_of_unique_keys_are_not_shuffled_to_find_that(spark, bronze_rows):
+    batch = rows_of(spark, bronze_rows, list(range(40)))
+    stored = spark.createDataFrame([("sales-events-0-99",)], f"{KEY} string")
+    assert exchanges(merge.inserts(batch, stored, 40)) == 0
+    held = spark.createDataFrame([("sales-events-0-3",)], f"{KEY} string")
+    assert merge.inserts(batch, held, 40).count() == 39
+
+
 def test_ndjson_is_packed(spark, bronze_rows, tmp_path):
     path = tmp_path / "nd"
     write_bronze_ndjson(bronze_rows(*[{"kafka_offset": n} for n in range(3)]), str(path), "batch-0")
