@@ -343,7 +343,7 @@ def redrive(
     stamp = ingested_at or datetime.now(timezone.utc)
     with staging(spark):
         folders = quarantine_folders(spark, settings.layer("quarantine"), "topic")
-        aside = stage(open_rejects(spark, settings), "open-rejects")
+        aside = stage_lean(open_rejects(spark, settings), "open-rejects")
         messages = aside.select(
             F.col("kafka_topic").alias("topic"),
             F.col("kafka_partition").alias("partition"),
@@ -353,7 +353,7 @@ def redrive(
             "source_file",
         )
         judged = judge_topic(mend(messages) if mend else messages, None, stamp)
-        passed = stage(valid(judged).dropDuplicates(POSITION), "passed")
+        passed = stage_lean(valid(judged).dropDuplicates(POSITION), "passed")
         stored = passed.count()
         if stored:
             hashes = F.sum(F.xxhash64(*POSITION).cast("decimal(38,0)"))

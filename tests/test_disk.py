@@ -116,6 +116,22 @@ def test_read_order_ranks_positions_alone(spark, star_dir, monkeypatch):
     assert staged == [["kafka_topic", "kafka_partition", "kafka_offset", "_all", "_slot"]]
 
 
+def test_only_damaged_messages_are_looked_up(spark, star_dir, monkeypatch):
+    class Stop(Exception):
+        pass
+
+    def caught(spark, settings, mend, **_):
+        held = queries.topic(spark, star_dir).withColumn("source_file", F.lit("f"))
+        rows = mend(held.withColumn("value", F.lit("bad")))
+        assert {r.offset % 11 == 0 or r.offset % 13 == 0 for r in rows.where("offset in (0, 22, 26)").collect()} == {True}
+        assert rows.where("offset in (2, 4, 8)").count() == 0
+        raise Stop
+
+    monkeypatch.setattr(jobs, "redrive", caught)
+    with pytest.raises(Stop):
+        queries.redrive_rejects(spark, star_dir)
+
+
 def rows_of(spark, bronze_rows, offsets):
     changes = [{"kafka_offset": n, "order_id": k, "ingested_at": LATER if k % 2 else LATER - dt.timedelta(days=k + 1)} for k, n in enumerate(offsets)]
     return staging.stage(curate(bronze_rows(*changes)), "rows")
