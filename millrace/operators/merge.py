@@ -20,6 +20,8 @@ FIRST_BY = ["bronze_ingested_at", "source_file"]
 # Batches up to so many rows look their keys up one by one; the stored files' Bloom filters
 # then give about a fifth of the row groups a false hit. Larger ones go by ranges.
 LOOKUPS = 2_000
+# Rows whose key may repeat are ranked apart from the others where these are so many times as many.
+APART = 16
 # Parts that all offsets of one length are looked at in.
 PARTS = 32
 
@@ -49,6 +51,24 @@ def first_wins(batch: DataFrame, order_by: list[str] | None = None) -> DataFrame
     return batch.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
+def first_of_staged(batch: DataFrame, rows: int) -> DataFrame:
+    """``first_wins`` for a staged batch of ``rows`` rows, most of whose keys come once.
+
+    Hashes of the keys alone are shuffled to find those that repeat, and whole rows only where
+    some do. Two keys of one hash are ranked with the rest, each for itself.
+    """
+    hashed = batch.withColumn("_key_hash", F.xxhash64(KEY))
+    counted = hashed.groupBy("_key_hash").agg(F.count("*").alias("copies")).where("copies > 1")
+    repeated = stage_lean(counted, "repeated-keys")
+    number = repeated.agg(F.sum("copies")).first()[0]
+    if not number:
+        return batch
+    if number * APART > rows:
+        return first_wins(batch)
+    alone = hashed.join(repeated, "_key_hash", "left_anti")
+    return alone.unionAll(first_wins(hashed.join(repeated, "_key_hash", "left_semi"))).drop("_key_hash")
+
+
 def inserts(batch: DataFrame, stored_keys: DataFrame, received: int | None = None) -> DataFrame:
     """The rows a merge adds, of a batch of ``received`` rows where that is known.
 
@@ -187,7 +207,7 @@ def merge_staged(
     number = counts["received"] - counts["rejected"]
     # Counted in the writing stage itself, where a retried task counts once.
     append_silver(
-        (inserts(rows, stored_keys, number) if exists(spark, path) else first_wins(rows)).select(*SILVER.fieldNames()),
+        (inserts(rows, stored_keys, number) if exists(spark, path) else first_of_staged(rows, number)).select(*SILVER.fieldNames()),
         path,
         observe=(seen, F.count(F.lit(1)).alias("written")),
     )

@@ -141,9 +141,19 @@ def exchanges(df):
     return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
 
 
+@pytest.mark.parametrize("offsets", [range(40), [*range(40), 3], [*range(40), *range(40), 5], []])
+def test_first_of_staged_rows(spark, bronze_rows, offsets):
+    batch = rows_of(spark, bronze_rows, list(offsets))
+    got = merge.first_of_staged(batch, len(list(offsets)))
+    assert got.columns == batch.columns
+    wanted = merge.first_wins(batch)
+    assert got.exceptAll(wanted).count() == wanted.exceptAll(got).count() == 0
+
+
 def test_rows_of_unique_keys_are_not_shuffled_to_find_that(spark, bronze_rows):
     batch = rows_of(spark, bronze_rows, list(range(40)))
     stored = spark.createDataFrame([("sales-events-0-99",)], f"{KEY} string")
+    assert exchanges(merge.first_of_staged(batch, 40)) == 0
     assert exchanges(merge.inserts(batch, stored, 40)) == 0
     held = spark.createDataFrame([("sales-events-0-3",)], f"{KEY} string")
     assert merge.inserts(batch, held, 40).count() == 39
